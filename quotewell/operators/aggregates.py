@@ -22,12 +22,21 @@ def coverage(fact: DataFrame, key: str, day: str, rows: str, first: str, last: s
     return fact.groupBy(key).agg(F.count("*").alias(rows), F.min(day).alias(first), F.max(day).alias(last))
 
 
+def exact_mean(value: Column | str) -> Column:
+    """Mean as sum over count, NULL over no rows. On decimal input it is exact to 15 digits or more.
+
+    A decimal sum does not depend on the order in which tasks finish, unlike a sum of doubles, so a rounded
+    mean is the same on every run and cluster.
+    """
+    return F.try_divide(F.sum(value), F.count(value))
+
+
 def monthly_mean(fact: DataFrame, value: str, out: str, day: str = "id_data", factor: int = 1) -> DataFrame:
-    """Mean of `value` per (nr_ano, nr_mes) times `factor`, over rows where it is known."""
+    """Exact mean of `value` per (nr_ano, nr_mes) times `factor`, over rows where it is known."""
     return (
         fact.filter(F.col(value).isNotNull())
         .groupBy(year_of(F.col(day)).alias("nr_ano"), month_of(F.col(day)).alias("nr_mes"))
-        .agg((F.avg(F.col(value).cast("double")) * factor).alias(out))
+        .agg(F.try_divide(F.sum(value) * factor, F.count(value)).alias(out))
     )
 
 
@@ -63,7 +72,7 @@ def by_grain(fact: DataFrame, calendar: DataFrame, grain: list[str], value: str)
         .agg(
             F.sum("_n").alias("linhas"),
             F.sum("_s").alias("soma"),
-            F.try_divide(F.sum("_s").cast("double"), F.sum("_n")).alias("media"),
+            F.try_divide(F.sum("_s"), F.sum("_n")).alias("media"),
             F.min("_lo").alias("minimo"),
             F.max("_hi").alias("maximo"),
         )

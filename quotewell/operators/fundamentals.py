@@ -45,6 +45,7 @@ def indicator_fact(
     window: int = SESSIONS_PER_YEAR,
     lag_days: int = 0,
     dividend_days: int = 365,
+    min_returns: int | None = None,
 ) -> DataFrame:
     """P/L, ROE, DY, EV/EBITDA, Sharpe, volatility and market cap on each share's last session of a month.
 
@@ -80,7 +81,7 @@ def indicator_fact(
         .filter(F.col("_quote").isNotNull())
         .select("id_acao", "_day", "_quote.*", "_filed", "_paid")
     )
-    rows = with_rolling_risk(rows, window=window, rate="vl_taxa", day="_day")
+    rows = with_rolling_risk(rows, window=window, min_returns=min_returns, rate="vl_taxa", day="_day")
     next_day = F.lead("id_data").over(W.partitionBy("id_acao").orderBy("_day"))
     month = year_of(F.col("id_data")) * 100 + month_of(F.col("id_data"))
     last_of_month = next_day.isNull() | (year_of(next_day) * 100 + month_of(next_day) != month)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from quotewell.functions.calendar import between_days, date_of, year_of
 from quotewell.functions.labels import resilience_class
-from quotewell.operators.aggregates import TRADING_DAYS_PER_MONTH, monthly_mean
+from quotewell.operators.aggregates import TRADING_DAYS_PER_MONTH, exact_mean, monthly_mean
 from quotewell.operators.joins import broadcast_if_small, share_dimensions, tag_periods
 from quotewell.operators.returns import change_on_previous, cumulative_returns, history
 
@@ -38,7 +38,7 @@ def rate_against_sector(
 
     The daily mean return is scaled by 21 to a month while the rate stays a daily mean; `compound_rate=True`
     scales the rate as well. The date bounds are stated on the facts' own key, so they prune files, and the
-    sector's shares are found in the dimensions before they meet the fact.
+    sector's shares are found in the dimensions before they meet the fact. Means and rounding are decimal.
     """
     shares = share_dimensions(acao, empresa, setor, [], keep=F.col("s.cd_setor") == sector)
     bars = quotes.filter(between_days(F.col("id_data"), first, last)).select("id_acao", "id_data", "vl_retorno_diario")
@@ -99,7 +99,7 @@ def resilience(
 def sector_resilience(classified: DataFrame) -> DataFrame:
     """Shares and mean change per sector and class."""
     return classified.groupBy("ds_setor", "classificacao").agg(
-        F.count("*").alias("acoes"), F.round(F.avg(F.col("variacao").cast("double")), 4).alias("variacao_media")
+        F.count("*").alias("acoes"), F.round(exact_mean("variacao"), 4).alias("variacao_media")
     )
 
 

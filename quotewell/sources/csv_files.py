@@ -182,8 +182,11 @@ def read_staging(spark: SparkSession, path: str, source: CsvSource) -> DataFrame
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:
-    """Text of the lines that do not have the declared number of fields."""
-    return lines.filter(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("ds_dados"))
+    """Text of the lines that do not have the declared number of fields.
+
+    Spark refuses to read the bad-line column alone, hence the first column beside it.
+    """
+    return lines.filter(F.col(BAD_LINE).isNotNull()).select(F.coalesce(BAD_LINE, lines.columns[0]).alias("ds_dados"))
 
 
 def write_csv(df: DataFrame, path: str, source: CsvSource) -> None:

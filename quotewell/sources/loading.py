@@ -7,12 +7,16 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F
 
 from quotewell.operators.joins import keep_first
-from quotewell.schemas import TABLES
+from quotewell.schemas import TABLES, struct
 from quotewell.sources.csv_files import FULL_LOAD, CsvSource, bad_lines, read_text_columns, staging_columns
-from quotewell.sources.store import Store
+from quotewell.sources.store import Store, literal_row
 
 RUNNING, DONE, FAILED, PARTIAL = "EXECUTANDO", "SUCESSO", "ERRO", "PARCIAL"  # fixed values
-REPORT = "id_carga bigint, fonte string, registros_lidos bigint, registros_carregados bigint, registros_erro bigint, status string"
+REPORT = struct(
+    "id_carga bigint, fonte string, registros_lidos bigint, registros_carregados bigint, registros_erro bigint, status string"
+)
+_FAILURE = struct("id_carga bigint, ds_etapa string, ds_fonte string, ds_procedure string, ds_erro string")
+_MARK = struct("cd_parametro string, vl_parametro string, dt_atualizacao timestamp")
 
 
 def as_batch(rows: DataFrame, now: Column | None = None) -> DataFrame:
@@ -57,7 +61,7 @@ def load_source(store: Store, source: CsvSource, path: str, checksum: str | None
 
     def close(status: str, read: int | None, loaded: int | None, bad: int | None, message: str | None) -> None:
         row = (load_id, source.name, path, source.table, started, _utc_now(), read, loaded, bad, status, message, checksum)
-        store.append(spark.createDataFrame([row], TABLES["etl_controle_carga"]).coalesce(1), "etl_controle_carga")
+        store.append(literal_row(spark, TABLES["etl_controle_carga"], list(row)).coalesce(1), "etl_controle_carga")
 
     try:
         seen, kept = Observation(), Observation()
@@ -79,15 +83,12 @@ def load_source(store: Store, source: CsvSource, path: str, checksum: str | None
     except Exception as problem:
         message = str(problem).splitlines()[0]
         close(FAILED, None, None, None, message)
-        failure = spark.createDataFrame([(load_id, "EXTRACT", source.name, "load_source", message)], _FAILURE)
+        failure = literal_row(spark, _FAILURE, [load_id, "EXTRACT", source.name, "load_source", message])
         log_errors(store, failure)
         raise
     status = PARTIAL if bad else DONE
     close(status, read, loaded, bad, None)
-    return spark.createDataFrame([(load_id, source.name, read, loaded, bad, status)], REPORT)
-
-
-_FAILURE = "id_carga bigint, ds_etapa string, ds_fonte string, ds_procedure string, ds_erro string"
+    return literal_row(spark, REPORT, [load_id, source.name, read, loaded, bad, status])
 
 
 def full_extract(store: Store, paths: dict[str, str], plan: list[tuple[str, CsvSource]] | None = None) -> DataFrame:
@@ -103,7 +104,7 @@ def full_extract(store: Store, paths: dict[str, str], plan: list[tuple[str, CsvS
         except Exception as problem:
             text = f"Falha na etapa: {stage}"
             message = str(problem).splitlines()[0]
-            failure = store.spark.createDataFrame([(None, "EXTRACT", "ORQUESTRADOR", "full_extract", message)], _FAILURE)
+            failure = literal_row(store.spark, _FAILURE, [None, "EXTRACT", "ORQUESTRADOR", "full_extract", message])
             log_errors(store, failure.withColumn("ds_dados", F.lit(text)))
             report.append((stage, source.name, 0, FAILED))
     return store.spark.createDataFrame(report, "etapa string, fonte string, registros_carregados bigint, status string")
@@ -159,7 +160,7 @@ def advance_mark(store: Store, parameter: str, loaded: DataFrame, day: str) -> s
     newest = loaded.agg(F.max(day)).first()[0]
     if newest is None:
         return None
-    row = store.spark.createDataFrame([(parameter, str(newest), _utc_now())], "cd_parametro string, vl_parametro string, dt_atualizacao timestamp")
+    row = literal_row(store.spark, _MARK, [parameter, str(newest), _utc_now()])
     store.append(row.coalesce(1), "parametros_sistema")
     return str(newest)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -15,10 +15,17 @@ BY_YEAR = ["fato_cotacao", "fato_indicador_macro", "hist_preco_ajustado"]
 _PARTITION_TYPES = {"ds_fonte": "string", "fl_processado": "int", "id_carga": "bigint", "nr_ano": "int"}
 
 
+def literal_row(spark: SparkSession, schema: T.StructType, values: list) -> DataFrame:
+    """One row of literals (missing ones NULL), made by the JVM alone."""
+    padded = [*values, *[None] * (len(schema) - len(values))]
+    return spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(padded, schema)])
+
+
 @dataclass
 class Store:
     spark: SparkSession
     root: str
+    _created: set[str] = field(default_factory=set)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -35,9 +42,15 @@ class Store:
 
     def create(self, table: str) -> None:
         """An empty table, unless it is there already."""
-        writer = self.spark.createDataFrame([], self.schema(table)).write.mode("ignore")
+        if table in self._created:
+            return
+        writer = self.empty(table).write.mode("ignore")
         layout = self.layout(table)
         (writer.partitionBy(*layout) if layout else writer).parquet(self.path(table))
+        self._created.add(table)
+
+    def empty(self, table: str) -> DataFrame:
+        return literal_row(self.spark, self.schema(table), []).limit(0)
 
     def read(self, table: str) -> DataFrame:
         self.create(table)
@@ -52,17 +65,26 @@ class Store:
         )
 
     def append(self, df: DataFrame, table: str, sort: list[str] | None = None) -> None:
-        """Add rows. Facts are brought together by year and sorted by key, for file and row-group skipping."""
-        rows, layout = self.fit(df, table), self.layout(table)
+        """Add rows. Within its files a fact is sorted by key, for row-group skipping."""
+        rows, layout = self._gathered(self.fit(df, table), table), self.layout(table)
         if sort:
             rows = rows.sortWithinPartitions(*layout, *sort)
         writer = rows.write.mode("append")
         (writer.partitionBy(*layout) if layout else writer).parquet(self.path(table))
 
+    def _gathered(self, rows: DataFrame, table: str) -> DataFrame:
+        """Rows of one folder brought together, so that tasks x folders files do not arise.
+
+        The rebalance hint lets AQE merge small partitions and split large ones: a year with most of the
+        rows is written by many tasks.
+        """
+        layout = self.layout(table)
+        return rows.hint("rebalance", *layout) if layout else rows
+
     def replace_partitions(self, df: DataFrame, table: str) -> None:
         """Rewrite exactly the partitions the frame has rows for; repeating it changes nothing."""
         (
-            self.fit(df, table)
+            self._gathered(self.fit(df, table), table)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*self.layout(table))
@@ -89,11 +111,11 @@ class Store:
         The settled rows replace the folders of their own load, so a repeat after a failure adds nothing.
         """
         self.replace_partitions(typed, table)
-        self.replace_pending(self.spark.createDataFrame([], self.schema(table)), table, source, 0)
+        self.replace_pending(self.empty(table), table, source, 0)
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Write a whole snapshot. The frame must not read the same table."""
-        rows, layout = self.fit(df, table), self.layout(table)
+        rows, layout = self._gathered(self.fit(df, table), table), self.layout(table)
         writer = rows.write.mode("overwrite")
         (writer.partitionBy(*layout) if layout else writer).parquet(self.path(table))
 
