@@ -66,16 +66,17 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "quotes": (
         "bars",
-        """SELECT *, CAST(CAST(vl_fechamento AS DOUBLE) / CAST(lag(vl_fechamento)
-                     OVER (PARTITION BY id_acao ORDER BY dt_data) AS DOUBLE) - 1 AS DECIMAL(10,6)) AS vl_retorno_diario,
+        """SELECT * EXCLUDE (c, b), CAST(sign(c - b) * ((2 * abs(c - b) * 1000000 + b) // (2 * b)) / 1000000.0 AS DECIMAL(10,6)) AS vl_retorno_diario,
                   CAST(vl_maximo - vl_minimo AS DECIMAL(18,4)) AS vl_amplitude
-           FROM bars""",
+           FROM (SELECT *, CAST(vl_fechamento * 10000 AS BIGINT) AS c,
+                        CAST(lag(vl_fechamento) OVER (PARTITION BY id_acao ORDER BY dt_data) * 10000 AS BIGINT) AS b FROM bars)""",
     ),
     "macro": (
         "",
         """SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS id_indicador, CAST(o_orderdate AS DATE) AS dt_data,
                   CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS INTEGER) AS id_data,
-                  CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000000 AS DECIMAL(18,6)) AS vl_indicador
+                  CAST((2 * sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) + 100 * count(*)) // (200 * count(*))
+                       / 1000000.0 AS DECIMAL(18,6)) AS vl_indicador
            FROM orders GROUP BY ALL""",
     ),
     "indicators": (

@@ -72,11 +72,12 @@ KEPT = """SELECT d.id_acao, d.dt_data, (CAST(b.vl_fechamento AS DOUBLE) - CAST(d
 DIVIDEND_FACTOR = f"""SELECT b.id_acao, b.id_data, coalesce(product(k.g), 1) AS g
     FROM bars b LEFT JOIN ({KEPT}) k ON k.id_acao = b.id_acao AND k.dt_data >= b.dt_data GROUP BY 1, 2"""
 
-ADJUSTED = f"""SELECT id_acao, id_data, dt_data, CAST(vl_fechamento AS DOUBLE) * g / f AS a
-    FROM bars JOIN ({SPLIT_FACTOR}) USING (id_acao, id_data) JOIN ({DIVIDEND_FACTOR}) USING (id_acao, id_data)"""
+ADJUSTED = f"""SELECT id_acao, id_data, dt_data, vl_retorno_diario, CAST(vl_fechamento AS DOUBLE) * g / f AS a, g / f AS h
+    FROM quotes JOIN ({SPLIT_FACTOR}) USING (id_acao, id_data) JOIN ({DIVIDEND_FACTOR}) USING (id_acao, id_data)"""
 
 ADJUSTED_RETURN = f"""SELECT id_acao, id_data, CAST(a AS DECIMAL(18,4)) AS vl_fechamento_aj,
-    CAST(a / lag(a) OVER (PARTITION BY id_acao ORDER BY id_data) - 1 AS DECIMAL(10,6)) AS vl_retorno_aj FROM ({ADJUSTED})"""
+    CASE WHEN round(h / lag(h) OVER w, 9) = 1 THEN vl_retorno_diario ELSE CAST(a / lag(a) OVER w - 1 AS DECIMAL(10,6)) END AS vl_retorno_aj
+    FROM ({ADJUSTED}) WINDOW w AS (PARTITION BY id_acao ORDER BY id_data)"""
 
 
 @query(
@@ -107,7 +108,7 @@ def adjusted(m):
 
 @query(
     "wn7_adjusted_return",
-    sql("bars splits dividends", f"SELECT id_acao, id_data, CAST(vl_retorno_aj AS DOUBLE) AS vl_retorno_aj FROM ({ADJUSTED_RETURN})"),
+    sql("quotes splits dividends", f"SELECT id_acao, id_data, CAST(vl_retorno_aj AS DOUBLE) AS vl_retorno_aj FROM ({ADJUSTED_RETURN})"),
 )
 def wn7(m):
     return adjusted(m).select("id_acao", "id_data", "vl_retorno_aj")
@@ -219,7 +220,7 @@ def an7(m):
 
 @query(
     "ag15_total_return",
-    sql("bars splits dividends", f"""SELECT id_acao, CAST(CAST(product(1 + CAST(vl_retorno_aj AS DOUBLE)) - 1 AS DECIMAL(18,6)) AS DOUBLE) AS retorno_total
+    sql("quotes splits dividends", f"""SELECT id_acao, CAST(CAST(product(1 + CAST(vl_retorno_aj AS DOUBLE)) - 1 AS DECIMAL(18,6)) AS DOUBLE) AS retorno_total
         FROM ({ADJUSTED_RETURN}) WHERE id_data BETWEEN 19970101 AND 19981231 GROUP BY id_acao"""),
 )
 def ag15(m):
@@ -323,7 +324,7 @@ def an8(m):
 
 @query(
     "an9_adjusted_price_fact",
-    sql("bars splits dividends", f"SELECT id_acao, id_data, CAST(vl_fechamento_aj AS DOUBLE) AS vl_fechamento_aj, CAST(vl_retorno_aj AS DOUBLE) AS vl_retorno_aj FROM ({ADJUSTED_RETURN})"),
+    sql("quotes splits dividends", f"SELECT id_acao, id_data, CAST(vl_fechamento_aj AS DOUBLE) AS vl_fechamento_aj, CAST(vl_retorno_aj AS DOUBLE) AS vl_retorno_aj FROM ({ADJUSTED_RETURN})"),
 )
 def an9(m):
     return adjusted(m)

@@ -88,14 +88,14 @@ class Market:
 
     @cached_property
     def macro(self) -> DataFrame:
-        total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+        total = F.sum(F.col("o_totalprice").cast("decimal(18,2)"))
         return (
             self.table("orders")
             .groupBy(
                 F.substring("o_orderpriority", 1, 1).cast("int").alias("id_indicador"),
                 F.col("o_orderdate").cast("date").alias("dt_data"),
             )
-            .agg((total / F.count("*") / 1_000_000).cast("decimal(18,6)").alias("vl_indicador"))
+            .agg((total / (F.count("*") * 1_000_000)).cast("decimal(18,6)").alias("vl_indicador"))
             .withColumn("id_data", date_key(F.col("dt_data")))
         )
 
@@ -115,12 +115,12 @@ class Market:
 
     def series(self, number: int) -> DataFrame:
         digit = F.substring("o_orderpriority", 1, 1).cast("int")
-        total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+        total = F.sum(F.col("o_totalprice").cast("decimal(18,2)"))
         return (
             self.table("orders")
             .filter(digit == number)
             .groupBy(F.col("o_orderdate").cast("date").alias("dt_data"))
-            .agg((total / F.count("*") / 1_000_000).cast("decimal(18,6)").alias("vl_indicador"))
+            .agg((total / (F.count("*") * 1_000_000)).cast("decimal(18,6)").alias("vl_indicador"))
             .withColumn("id_data", date_key(F.col("dt_data")))
         )
 

@@ -75,15 +75,22 @@ def adjusted_prices(
     key: str = "id_acao",
     day: str = "id_data",
 ) -> DataFrame:
-    """Adjusted close and the return on it, one row per share and session."""
+    """Adjusted close and the return on it, one row per share and session.
+
+    Between sessions with the same factor the adjusted return is the plain one, and as exact.
+    """
+    over = history(key, day)
     rows = with_adjustment(quotes.select(key, day, close), splits, dividends, close, key, day)
-    rows = rows.withColumn("_adjusted", F.col(close).cast("double") * F.col("fator_ajuste"))
-    change = change_on_previous("_adjusted", history(key, day))
+    rows = rows.withColumn("_plain", change_on_previous(close, over))
+    step = F.try_divide(F.col("fator_ajuste"), F.lag("fator_ajuste").over(over))
+    adjusted = (1 + F.col("_plain").cast("double")) * step - 1
     return rows.select(
         key,
         day,
-        F.col("_adjusted").try_cast("decimal(18,4)").alias("vl_fechamento_aj"),
-        change.try_cast("decimal(10,6)").alias("vl_retorno_aj"),
+        (F.col(close).cast("double") * F.col("fator_ajuste")).try_cast("decimal(18,4)").alias("vl_fechamento_aj"),
+        F.when(step == 1, F.col("_plain").try_cast("decimal(10,6)"))
+        .otherwise(adjusted.try_cast("decimal(10,6)"))
+        .alias("vl_retorno_aj"),
     )
 
 

@@ -18,9 +18,11 @@ def history(key: str = "id_acao", day: str = "id_data") -> WindowSpec:
 
 
 def change_on_previous(value: str, over: WindowSpec) -> Column:
-    """value / previous value - 1; NULL on the first row and after a zero."""
-    now, before = F.col(value).cast("double"), F.lag(value).over(over).cast("double")
-    return F.try_divide(now, before) - 1
+    """value / previous value - 1; NULL on the first row and after a zero.
+
+    Decimal prices are divided as decimals, so that a return half way between two millionths rounds up for sure.
+    """
+    return F.try_divide(F.col(value), F.lag(value).over(over)) - 1
 
 
 def with_daily_return(
