@@ -174,8 +174,9 @@ RATE_SQL = sql(
 
 @query("an1_rate_vs_sector_return", RATE_SQL)
 def an1(m):
+    quotes = m.quotes_of(joins.share_dimensions(m.acao, m.empresa, m.setor, [], keep=F.col("s.cd_setor") == "EUROPE"))
     out = market.rate_against_sector(
-        m.quotes, m.acao, m.empresa, m.setor, m.macro, m.indicators, "1996-01-01", "2000-12-31", sector="EUROPE"
+        quotes, m.acao, m.empresa, m.setor, m.macro, m.indicators, "1996-01-01", "2000-12-31", sector="EUROPE"
     )
     return out.orderBy("nr_ano", "nr_mes")
 
@@ -264,7 +265,7 @@ def ag11b(m):
 )
 def ag12(m):
     exporters = joins.share_dimensions(m.acao, m.empresa, m.setor, [], keep=F.col("s.cd_setor") == "AMERICA")
-    return market.exchange_sensitivity(m.quotes, exporters, m.series(3))
+    return market.exchange_sensitivity(m.quotes_of(exporters), exporters, m.series(3))
 
 
 @query(

@@ -12,7 +12,7 @@ from quotewell.functions.valuation import dividend_yield, ev_ebitda, market_cap,
 from quotewell.operators import aggregates, joins, typed
 from quotewell.operators.returns import cumulative_returns
 from quotewell.plans.market import crisis_phases, two_period_returns
-from quotewell.plans.validation import busiest_tickers, indicator_coverage, sector_distribution
+from quotewell.plans.validation import busiest_tickers, indicator_coverage, sector_distribution, sessions_per_share
 
 # ---- projections and filters ----------------------------------------------------------------------
 
@@ -165,7 +165,8 @@ def j2(m):
         LEFT JOIN bars b ON b.id_acao = a.id_acao GROUP BY s.cd_setor, s.ds_setor"""),
 )
 def j3(m):
-    return joins.left_chain_counts(m.setor, m.empresa.filter("id_setor <> 2"), m.acao.filter("id_acao % 7 <> 0"), m.bars)
+    shares = m.acao.filter("id_acao % 7 <> 0")
+    return joins.left_chain_counts(m.setor, m.empresa.filter("id_setor <> 2"), shares, sessions_per_share(m.bars))
 
 
 @query(
@@ -349,7 +350,7 @@ def ag2(m):
         CAST(max(dt_data) AS VARCHAR) AS data_mais_recente FROM macro JOIN indicators USING (id_indicador) GROUP BY 1, 2"""),
 )
 def ag3(m):
-    return indicator_coverage({"fato_indicador_macro": m.macro, "dim_indicador_macro": m.indicators})
+    return indicator_coverage(m.macro, m.indicators)
 
 
 @query(
@@ -359,7 +360,7 @@ def ag3(m):
         LEFT JOIN bars b ON b.id_acao = a.id_acao GROUP BY 1, 2"""),
 )
 def ag4(m):
-    return sector_distribution({"dim_setor": m.setor, "dim_empresa": m.empresa, "dim_acao": m.acao, "fato_cotacao": m.bars})
+    return sector_distribution(sessions_per_share(m.bars), m.acao, m.empresa, m.setor)
 
 
 @query(
@@ -452,7 +453,7 @@ def ag10(m):
         FROM bars JOIN acao USING (id_acao) GROUP BY cd_ticker ORDER BY pregoes DESC, cd_ticker LIMIT 20"""),
 )
 def sl1(m):
-    return busiest_tickers({"fato_cotacao": m.bars, "dim_acao": m.acao})
+    return busiest_tickers(sessions_per_share(m.bars), m.acao)
 
 
 LATEST = """SELECT id_erro, CAST(id_carga AS DOUBLE) AS id_carga, ds_etapa, ds_fonte, ds_procedure, ds_erro, strftime(dt_erro, '%Y-%m-%d %H:%M:%S') AS dt_erro

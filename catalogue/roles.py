@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quotewell.functions.calendar import calendar_columns, date_key
+from quotewell.operators.joins import broadcast_if_small
 from quotewell.operators.returns import with_amplitude, with_daily_return
 
 
+def price(units: Column) -> Column:
+    """Whole ten-thousandths as a price."""
+    return (units.cast("decimal(14,0)") * F.expr("0.0001")).cast("decimal(18,4)")
+
+
 class Market:
     """Lazy views: lineitem as quotes, orders as macro series, supplier/nation/region as share/company/sector."""
 
@@ -21,7 +27,8 @@ class Market:
 
     @cached_property
     def ticks(self) -> DataFrame:
-        price = (F.lit(100) + F.col("l_extendedprice").cast("decimal(18,2)") * F.expr("0.001")).cast("decimal(18,4)")
+        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        price = 1_000_000 + F.call_function("div", cents + 5, F.lit(10))  # 100 + price / 1000, in ten-thousandths
         sequence = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 262144 + F.col("l_partkey") % 262144
         return self.table("lineitem").select(
             F.col("l_suppkey").alias("id_acao"),
@@ -35,19 +42,28 @@ class Market:
 
     @cached_property
     def bars(self) -> DataFrame:
+        return self.daily_bars(self.ticks)
+
+    @staticmethod
+    def daily_bars(ticks: DataFrame) -> DataFrame:
         """One row per (share, day). Every aggregate combines map-side on primitive buffers."""
         return (
-            self.ticks.groupBy("id_acao", "dt_data")
+            ticks.groupBy("id_acao", "dt_data")
             .agg(
-                F.min_by("p", "k").alias("vl_abertura"),
-                F.max_by("p", "k").alias("vl_fechamento"),
-                F.max("p").alias("vl_maximo"),
-                F.min("p").alias("vl_minimo"),
+                price(F.min_by("p", "k")).alias("vl_abertura"),
+                price(F.max_by("p", "k")).alias("vl_fechamento"),
+                price(F.max("p")).alias("vl_maximo"),
+                price(F.min("p")).alias("vl_minimo"),
                 F.sum("q").alias("vl_volume"),
             )
             .withColumn("id_data", date_key(F.col("dt_data")))
         )
 
+    def quotes_of(self, shares: DataFrame) -> DataFrame:
+        """Quotes with returns of some shares only: the others leave before anything is shuffled."""
+        ticks = self.ticks.join(broadcast_if_small(shares.select("id_acao")), "id_acao", "left_semi")
+        return with_daily_return(self.daily_bars(ticks))
+
     @cached_property
     def quotes(self) -> DataFrame:
         return with_amplitude(with_daily_return(self.bars))
@@ -142,7 +158,7 @@ class Market:
             "dt_data",
             F.col("dt_data").alias("dt_ex"),
             F.lit("DIVIDENDO").alias("ds_tipo"),
-            (F.col("p") * F.expr("0.0137")).cast("decimal(18,4)").cast("decimal(18,6)").alias("vl_dividendo"),
+            (price(F.col("p")) * F.expr("0.0137")).cast("decimal(18,4)").cast("decimal(18,6)").alias("vl_dividendo"),
         )
 
     @cached_property

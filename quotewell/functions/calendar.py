@@ -29,11 +29,11 @@ def date_of(key: Column) -> Column:
 
 
 def year_of(key: Column) -> Column:
-    return F.floor(key / 10000).cast("int")
+    return F.call_function("div", key, F.lit(10000)).cast("int")
 
 
 def month_of(key: Column) -> Column:
-    return F.floor(key / 100).cast("int") % 100
+    return F.call_function("div", key, F.lit(100)).cast("int") % 100
 
 
 def key_literal(day: date | str) -> int:

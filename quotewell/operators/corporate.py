@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from quotewell.functions.calendar import date_key, date_of
 from quotewell.operators.returns import change_on_previous, history
@@ -38,8 +38,8 @@ def with_adjustment(
 
     A split divides the closes before its date. A dividend D multiplies closes up to `dt_ex` by (P - D)/P,
     P being the last close by then; a factor not above zero is ignored. Events join the quotes as rows of
-    the same history, so one shuffle by share serves every window, and an event on a day without a session
-    needs no special case.
+    the same history, so one shuffle and one sort by share serve every window, and an event on a day without
+    a session needs no special case.
     """
     kept = [c for c in quotes.columns if c not in (key, day)]
     rows = quotes.select(key, day, F.struct(*kept).alias("_quote"), F.col(close).cast("double").alias("_close"))
@@ -49,17 +49,22 @@ def with_adjustment(
     ):
         if events is not None:
             rows = rows.unionByName(events, allowMissingColumns=True)
+    over = history(key, day)
+    everything = over.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+
+    def later(event: str, before: WindowSpec) -> Column:
+        """Product of the events still to come: all of them over those in the frame `before`."""
+        product = F.coalesce(F.product(event).over(everything), F.lit(1.0))
+        return product / F.coalesce(F.product(event).over(before), F.lit(1.0))
+
     factor = F.lit(1.0)
-    backward = W.partitionBy(key).orderBy(F.desc(day))
     if dividends is not None:
-        price = F.last("_close", ignorenulls=True).over(history(key, day))
+        price = F.last("_close", ignorenulls=True).over(over)
         kept_share = F.try_divide(price - F.col("_dividend"), price)
         rows = rows.withColumn("_kept", F.when(F.col("_dividend").isNotNull() & (kept_share > 0), kept_share))
-        later = backward.rangeBetween(W.unboundedPreceding, 0)
-        factor = factor * F.coalesce(F.product("_kept").over(later), F.lit(1.0))
+        factor = factor * later("_kept", over.rangeBetween(W.unboundedPreceding, -1))
     if splits is not None:
-        later = backward.rangeBetween(W.unboundedPreceding, -1)
-        factor = factor / F.coalesce(F.product("_split").over(later), F.lit(1.0))
+        factor = factor / later("_split", over.rangeBetween(W.unboundedPreceding, 0))
     return (
         rows.withColumn("fator_ajuste", factor)
         .filter(F.col("_quote").isNotNull())

@@ -43,21 +43,20 @@ def share_dimensions(
     return shares.select("a.id_acao", *columns)
 
 
-def left_chain_counts(setor: DataFrame, empresa: DataFrame, acao: DataFrame, fact: DataFrame) -> DataFrame:
+def left_chain_counts(setor: DataFrame, empresa: DataFrame, acao: DataFrame, per_share: DataFrame) -> DataFrame:
     """Shares and quotes per sector; sectors without companies, shares or quotes stay with zeros.
 
-    The fact is counted per share first, so only one row per share enters the joins.
+    `per_share` holds the fact already counted (id_acao, pregoes), so only one row per share enters the joins.
     """
-    per_share = fact.groupBy("id_acao").agg(F.count("*").alias("_quotes"))
     return (
         setor.select("id_setor", "cd_setor", "ds_setor")
         .join(empresa.select("id_empresa", "id_setor"), "id_setor", "left")
         .join(acao.select("id_acao", "id_empresa"), "id_empresa", "left")
-        .join(per_share, "id_acao", "left")
+        .join(per_share.select("id_acao", "pregoes"), "id_acao", "left")
         .groupBy("cd_setor", "ds_setor")
         .agg(
             F.count_distinct("id_acao").alias("total_acoes"),
-            F.coalesce(F.sum("_quotes"), F.lit(0)).alias("total_cotacoes"),
+            F.coalesce(F.sum("pregoes"), F.lit(0)).alias("total_cotacoes"),
         )
     )
 
@@ -142,16 +141,17 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def insert_if_absent(
-    target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column], prune_on: str | None = None
+    target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column], prune_on: list[str] | None = None
 ) -> DataFrame:
     """The batch rows to append: first of each key, and only keys the target does not hold.
 
-    With `prune_on` (a date or date-key column) the target is read only between the batch's own bounds,
-    which prunes its partitions and files.
+    With `prune_on` (year, date or date-key columns both have) the target is read only between the batch's
+    own bounds, which prunes its partitions and row groups.
     """
     if prune_on:
-        low, high = batch.agg(F.min(prune_on), F.max(prune_on)).first()
-        target = target.filter(F.col(prune_on).between(low, high)) if low is not None else target.limit(0)
+        bounds = batch.agg(*[f(c) for c in prune_on for f in (F.min, F.max)]).first()
+        for c, low, high in zip(prune_on, bounds[::2], bounds[1::2]):
+            target = target.filter(F.col(c).between(low, high)) if low is not None else target.limit(0)
     return keep_first(batch, keys, order).join(target.select(*keys), keys, "left_anti")
 
 

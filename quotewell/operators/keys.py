@@ -32,7 +32,3 @@ def with_dense_keys(df: DataFrame, order: list[str], out: str, start: int = 1, p
         .drop("_part", "_pos", "_before")
     )
 
-
-def with_small_keys(dim: DataFrame, order: list[str], out: str, start: int = 1) -> DataFrame:
-    """The same for a dimension of at most some thousand rows, in one window and without a checkpoint."""
-    return dim.withColumn(out, F.row_number().over(W.orderBy(*order)) + (start - 1))

@@ -18,7 +18,7 @@ Day = date | str
 def series_values(macro: DataFrame, indicators: DataFrame, code: str) -> DataFrame:
     """Values of one macro series by its code."""
     wanted = indicators.filter(F.col("cd_indicador") == code).select("id_indicador")
-    return macro.join(broadcast_if_small(wanted), "id_indicador").select("id_data", "vl_indicador")
+    return macro.join(wanted, "id_indicador").select("id_data", "vl_indicador")
 
 
 def rate_against_sector(
@@ -60,7 +60,7 @@ def rate_against_sector(
 
 
 def rising_rate_months(macro: DataFrame, indicators: DataFrame, indicator: str = "SELIC") -> DataFrame:
-    """Months whose mean rate rose on the month before. The window runs over monthly rows only."""
+    """Months whose mean rate rose on the month before. The one window group has a row per month."""
     months = monthly_mean(series_values(macro, indicators, indicator), "vl_indicador", "media")
     before = F.lag("media").over(W.partitionBy(F.lit(1)).orderBy("nr_ano", "nr_mes"))
     return months.withColumn("anterior", before).filter("media > anterior")
@@ -152,7 +152,8 @@ def correlation_across_sectors(sectors: DataFrame) -> DataFrame:
 def exchange_sensitivity(quotes: DataFrame, exporters: DataFrame, exchange: DataFrame) -> DataFrame:
     """Per exporter: correlation of daily returns with the exchange rate's, and the share of its up-days among the rate's.
 
-    `exporters` has id_acao; `exchange` has (id_data, vl_indicador), one row per day.
+    `exporters` has id_acao; `exchange` has (id_data, vl_indicador), one row per day: its one window group is
+    no longer than the calendar.
     """
     fx = exchange.select(
         "id_data", change_on_previous("vl_indicador", W.partitionBy(F.lit(1)).orderBy("id_data")).alias("r_fx")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from quotewell.functions.calendar import date_of
+from quotewell.functions.labels import volume_status
 from quotewell.operators.aggregates import coverage, table_counts, top
 from quotewell.operators.joins import left_chain_counts
 from quotewell.operators.quality import minimum_rows
+from quotewell.session import with_checkpoint_dir
 
 COUNTED = [
     "dim_setor", "dim_empresa", "dim_acao", "dim_data", "dim_indicador_macro",
@@ -15,36 +19,43 @@ COUNTED = [
 ]
 
 
+def sessions_per_share(quotes: DataFrame) -> DataFrame:
+    """Sessions, first and last day per share: all that the checks below need of the quotes."""
+    return coverage(quotes, "id_acao", "id_data", "pregoes", "_first", "_last")
+
+
 def general_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return table_counts({name: tables[name] for name in COUNTED if name in tables})
 
 
-def quote_volume(tables: dict[str, DataFrame], minimum: int = 200_000) -> DataFrame:
-    return minimum_rows(tables["fato_cotacao"], minimum)
+def quote_volume(quotes: DataFrame, minimum: int = 200_000) -> DataFrame:
+    return minimum_rows(quotes, minimum)
 
 
-def busiest_tickers(tables: dict[str, DataFrame], n: int = 20) -> DataFrame:
-    """Tickers with the most sessions. Shares are counted and cut to n on their key, then named."""
-    seen = coverage(tables["fato_cotacao"], "id_acao", "id_data", "pregoes", "_a", "_b")
-    named = seen.join(tables["dim_acao"].select("id_acao", "cd_ticker"), "id_acao").select(
-        "cd_ticker", "pregoes", date_of(F.col("_a")).alias("primeiro_pregao"), date_of(F.col("_b")).alias("ultimo_pregao")
+def busiest_tickers(per_share: DataFrame, acao: DataFrame, n: int = 20) -> DataFrame:
+    """Tickers with the most sessions."""
+    named = per_share.join(acao.select("id_acao", "cd_ticker"), "id_acao").select(
+        "cd_ticker",
+        "pregoes",
+        date_of(F.col("_first")).alias("primeiro_pregao"),
+        date_of(F.col("_last")).alias("ultimo_pregao"),
     )
     return top(named, n, F.desc("pregoes"), F.col("cd_ticker"))
 
 
-def indicator_coverage(tables: dict[str, DataFrame]) -> DataFrame:
-    seen = coverage(tables["fato_indicador_macro"], "id_indicador", "id_data", "total_registros", "_a", "_b")
-    return seen.join(tables["dim_indicador_macro"], "id_indicador").select(
+def indicator_coverage(macro: DataFrame, indicators: DataFrame) -> DataFrame:
+    seen = coverage(macro, "id_indicador", "id_data", "total_registros", "_first", "_last")
+    return seen.join(indicators, "id_indicador").select(
         "cd_indicador",
         "ds_indicador",
         "total_registros",
-        date_of(F.col("_a")).alias("data_mais_antiga"),
-        date_of(F.col("_b")).alias("data_mais_recente"),
+        date_of(F.col("_first")).alias("data_mais_antiga"),
+        date_of(F.col("_last")).alias("data_mais_recente"),
     )
 
 
-def sector_distribution(tables: dict[str, DataFrame]) -> DataFrame:
-    return left_chain_counts(tables["dim_setor"], tables["dim_empresa"], tables["dim_acao"], tables["fato_cotacao"])
+def sector_distribution(per_share: DataFrame, acao: DataFrame, empresa: DataFrame, setor: DataFrame) -> DataFrame:
+    return left_chain_counts(setor, empresa, acao, per_share)
 
 
 def latest_errors(log: DataFrame, n: int = 20) -> DataFrame:
@@ -52,22 +63,35 @@ def latest_errors(log: DataFrame, n: int = 20) -> DataFrame:
 
 
 def report(tables: dict[str, DataFrame], minimum: int = 200_000) -> DataFrame:
-    """All checks as (verificacao, item, valor); tables are counted once."""
+    """All checks as (verificacao, item, valor).
+
+    Quotes and series are each read once: their counts per share and per indicator are checkpointed, and every
+    check starts from those small tables.
+    """
+    with_checkpoint_dir(tables["fato_cotacao"].sparkSession)
+    per_share = sessions_per_share(tables["fato_cotacao"]).checkpoint()
+    indicators = indicator_coverage(tables["fato_indicador_macro"], tables["dim_indicador_macro"]).checkpoint()
+    acao, empresa, setor = tables["dim_acao"], tables["dim_empresa"], tables["dim_setor"]
+
+    def total(counts: DataFrame, rows: str, table: str) -> DataFrame:
+        rows_sum = F.coalesce(F.sum(rows), F.lit(0)).alias("registros")
+        return counts.agg(rows_sum).select(F.lit(table).alias("tabela"), "registros")
 
     def lines(df: DataFrame, check: str, item: str, value: str) -> DataFrame:
         return df.select(F.lit(check).alias("verificacao"), F.col(item).alias("item"), F.col(value).cast("string").alias("valor"))
 
+    quotes = total(per_share, "pregoes", "fato_cotacao")
+    others = {name: tables[name] for name in COUNTED if name in tables and name not in ("fato_cotacao", "fato_indicador_macro")}
     parts = [
-        lines(general_counts(tables), "contagem", "tabela", "registros"),
-        lines(quote_volume(tables, minimum), "volume", "tabela", "status"),
-        lines(busiest_tickers(tables), "pregoes", "cd_ticker", "pregoes"),
-        lines(indicator_coverage(tables), "indicadores", "cd_indicador", "total_registros"),
-        lines(sector_distribution(tables), "setores", "cd_setor", "total_cotacoes"),
+        lines(table_counts(others), "contagem", "tabela", "registros"),
+        lines(quotes, "contagem", "tabela", "registros"),
+        lines(total(indicators, "total_registros", "fato_indicador_macro"), "contagem", "tabela", "registros"),
+        lines(quotes.withColumn("status", volume_status(F.col("registros"), minimum)), "volume", "tabela", "status"),
+        lines(busiest_tickers(per_share, acao), "pregoes", "cd_ticker", "pregoes"),
+        lines(indicators, "indicadores", "cd_indicador", "total_registros"),
+        lines(sector_distribution(per_share, acao, empresa, setor), "setores", "cd_setor", "total_cotacoes"),
     ]
     if "etl_log_erros" in tables:
         errors = tables["etl_log_erros"].groupBy("ds_erro").agg(F.count("*").alias("n"))
         parts.append(lines(errors, "erros", "ds_erro", "n"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)

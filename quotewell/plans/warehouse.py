@@ -9,7 +9,7 @@ from quotewell.functions.parsing import share_type
 from quotewell.operators.corporate import adjusted_prices
 from quotewell.operators.fundamentals import MEASURES, indicator_fact, latest_versions, statement_measures
 from quotewell.operators.joins import expand_monthly, insert_if_absent, keep_first, lookup_key, scd1_upsert
-from quotewell.operators.keys import with_small_keys
+from quotewell.operators.keys import with_dense_keys
 from quotewell.operators.returns import with_amplitude, with_daily_return
 from quotewell.operators.typed import PASSED, REJECTED, TYPINGS, apply_typing
 from quotewell.plans.market import series_values
@@ -116,7 +116,7 @@ def rewrite_dimension(store: Store, table: str, merged: DataFrame, natural: str,
     known = current.select(natural, key)
     highest = current.agg(F.max(key)).first()[0] or 0
     old = merged.join(known, natural)
-    new = with_small_keys(merged.join(known, natural, "left_anti"), [natural], key, highest + 1)
+    new = with_dense_keys(merged.join(known, natural, "left_anti"), [natural], key, highest + 1)
     beside = f"{store.path(table)}_next"
     store.fit(old.unionByName(new), table).write.mode("overwrite").parquet(beside)
     store.overwrite(store.spark.read.parquet(beside), table)
@@ -130,8 +130,9 @@ def load_quotes(store: Store, rows: DataFrame) -> None:
     """
     rows = lookup_key(rows, store.read("dim_acao"), "cd_ticker", "id_acao")
     rows = log_unknown(store, rows, "id_acao", "cd_ticker", "KAGGLE_COTACAO").withColumn("id_data", date_key(F.col("dt_data")))
+    rows = rows.withColumn("nr_ano", F.year("dt_data"))
     fact = store.read("fato_cotacao")
-    new = insert_if_absent(fact, rows, ["id_acao", "id_data"], [F.col("id_staging")], prune_on="id_data")
+    new = insert_if_absent(fact, rows, ["id_acao", "id_data"], [F.col("id_staging")], prune_on=["nr_ano", "id_data"])
     first_days = new.groupBy("id_acao").agg(F.min("id_data").alias("_first"))
     earlier = (
         fact.join(first_days, "id_acao")
@@ -150,9 +151,9 @@ def load_series(store: Store, rows: DataFrame, indicator: str) -> None:
         rows = expand_monthly(keep_first(rows.withColumn("_m", F.trunc("dt_data", "month")), ["_m"], [F.col("id_staging")]).drop("_m"), "dt_data")
     rows = lookup_key(rows, store.read("dim_indicador_macro"), "cd_indicador", "id_indicador")
     rows = log_unknown(store, rows, "id_indicador", "cd_indicador", f"BCB_{indicator}").withColumn("id_data", date_key(F.col("dt_data")))
-    new = insert_if_absent(
-        store.read("fato_indicador_macro"), rows, ["id_indicador", "id_data"], [F.col("id_staging")], prune_on="id_data"
-    )
+    rows = rows.withColumn("nr_ano", F.year("dt_data"))
+    held = store.read("fato_indicador_macro")
+    new = insert_if_absent(held, rows, ["id_indicador", "id_data"], [F.col("id_staging")], prune_on=["nr_ano", "id_data"])
     store.append(new.withColumn("dt_carga", F.current_timestamp()), "fato_indicador_macro", ["id_indicador", "id_data"])
 
 
@@ -163,7 +164,7 @@ def load_statements(store: Store, rows: DataFrame, period: str = "ANUAL") -> Non
     wide = lookup_key(wide, store.read("dim_empresa"), "cd_cvm", "id_empresa").filter("id_empresa IS NOT NULL")
     wide = wide.withColumn("id_data", date_key(F.col("dt_data"))).withColumn("ds_tipo_dem", F.lit(period))
     keys = ["id_empresa", "id_data", "ds_tipo_dem"]
-    new = insert_if_absent(store.read("fato_dem_financeira"), wide, keys, [F.col("id_data")], prune_on="id_data")
+    new = insert_if_absent(store.read("fato_dem_financeira"), wide, keys, [F.col("id_data")], prune_on=["id_data"])
     store.append(new.withColumn("dt_carga", F.current_timestamp()), "fato_dem_financeira")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from quotewell.operators.joins import keep_first
 from quotewell.schemas import TABLES, struct
@@ -175,8 +175,7 @@ def latest_parameters(store: Store) -> DataFrame:
 def expired_batches(staging: DataFrame, keep: int, batch: str = "id_carga", state: str = "fl_processado") -> DataFrame:
     """Batches of processed rows older than the latest `keep`. Works on one row per batch."""
     batches = staging.filter(F.col(state) == 1).select(batch).distinct()
-    ranked = batches.withColumn("_age", F.row_number().over(W.orderBy(F.desc(batch))))
-    return ranked.filter(F.col("_age") > keep).select(batch)
+    return batches.join(batches.orderBy(F.desc(batch)).limit(keep), batch, "left_anti")
 
 
 def retained(staging: DataFrame, keep: int, batch: str = "id_carga", state: str = "fl_processado") -> DataFrame:

@@ -50,8 +50,7 @@ def load_arrivals(
         session = batch.sparkSession
         session.createDataFrame([], rows.schema).write.mode("ignore").partitionBy("nr_ano").parquet(target)
         held = session.read.schema(rows.schema).parquet(target)
-        years = [r["nr_ano"] for r in rows.select("nr_ano").distinct().collect()]  # one value per year in the batch
-        new = insert_if_absent(held.filter(F.col("nr_ano").isin(years)), rows, keys, [F.col(day)], prune_on=day)
+        new = insert_if_absent(held, rows, keys, [F.col(day)], prune_on=["nr_ano", day])
         new.write.mode("append").partitionBy("nr_ano").parquet(target)
 
     return (
