@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quotewell import schemas
+from quotewell.functions.labels import volume_status
+from quotewell.operators.joins import orphan_keys
 
 
 def count_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -59,8 +63,31 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def minimum_rows(df: DataFrame, minimum: int, table: str = "fato_cotacao") -> DataFrame:
-    from quotewell.functions.labels import volume_status
-
     return df.agg(F.count("*").alias("total_registros")).select(
         F.lit(table).alias("tabela"), "total_registros", volume_status(F.col("total_registros"), minimum).alias("status")
     )
+
+
+def check_model(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every declared rule, unique key and reference over the tables given: (tabela, regra, violacoes).
+
+    Row rules of a table take one scan; keys and references are counted per value before anything is joined.
+    """
+    parts = []
+    for name, df in tables.items():
+        if table_rules(name):
+            parts.append(check_table(df, name).select(F.lit(name).alias("tabela"), "regra", "violacoes"))
+        if name in schemas.UNIQUE_KEYS:
+            keys = schemas.UNIQUE_KEYS[name]
+            parts.append(_total(duplicate_keys(df, keys), F.count("*"), name, f"unique {', '.join(keys)}"))
+    for child, column, parent, parent_key, optional in schemas.FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            orphans = orphan_keys(tables[child], column, tables[parent], parent_key)
+            parts.append(_total(orphans, F.coalesce(F.sum("linhas"), F.lit(0)), child, f"{column} in {parent}"))
+            if not optional and column not in schemas.REQUIRED.get(child, []):
+                parts.append(_total(tables[child].filter(F.col(column).isNull()), F.count("*"), child, f"{column} is required"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _total(df: DataFrame, count: Column, table: str, rule: str) -> DataFrame:
+    return df.agg(count.alias("violacoes")).select(F.lit(table).alias("tabela"), F.lit(rule).alias("regra"), "violacoes")
