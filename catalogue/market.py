@@ -181,8 +181,8 @@ def an1(m):
     return out.orderBy("nr_ano", "nr_mes")
 
 
-RESILIENCE = f"""SELECT cd_ticker, ds_setor, CAST(round(ret_base * 100, 2) AS DOUBLE) AS retorno_base_pct,
-    CAST(round(ret_crise * 100, 2) AS DOUBLE) AS retorno_crise_pct, CAST(round((ret_crise - ret_base) * 100, 2) AS DOUBLE) AS variacao,
+RESILIENCE = f"""SELECT cd_ticker, ds_setor, CAST(round(ret_base * 100, 2) AS DOUBLE) AS retorno_1997_pct,
+    CAST(round(ret_crise * 100, 2) AS DOUBLE) AS retorno_1998_pct, CAST(round((ret_crise - ret_base) * 100, 2) AS DOUBLE) AS variacao,
     {CLASS} AS classificacao FROM ({TWO_RETURNS}) JOIN shares USING (id_acao)
     WHERE fl_ativa AND ret_base IS NOT NULL AND ret_crise IS NOT NULL"""
 

@@ -74,6 +74,12 @@ def two_period_returns(
     return totals.filter("ret_base IS NOT NULL AND ret_crise IS NOT NULL")
 
 
+def period_name(window: tuple[Day, Day], otherwise: str) -> str:
+    """The year of a window that lies within one, else a general name."""
+    first, last = (str(d)[:4] for d in window)
+    return first if first == last else otherwise
+
+
 def resilience(
     quotes: DataFrame,
     acao: DataFrame,
@@ -82,15 +88,21 @@ def resilience(
     base: tuple[Day, Day] = ("2019-01-01", "2019-12-31"),
     crisis: tuple[Day, Day] = ("2020-01-01", "2020-12-31"),
 ) -> DataFrame:
-    """Active shares with both returns in percent, the change in points and the class."""
+    """Active shares with both returns in percent, the change in points and the class.
+
+    The return columns carry the windows' years: retorno_2019_pct, retorno_2020_pct.
+    """
+    names = [period_name(base, "base"), period_name(crisis, "crise")]
+    if names[0] == names[1]:
+        names = ["base", "crise"]
     shares = share_dimensions(acao, empresa, setor, ["cd_ticker", "s.ds_setor"], keep=F.col("a.fl_ativa"))
     returns = two_period_returns(quotes, base, crisis).join(shares, "id_acao")
     before, during = F.col("ret_base"), F.col("ret_crise")
     return returns.select(
         "cd_ticker",
         "ds_setor",
-        F.round(before * 100, 2).alias("retorno_base_pct"),
-        F.round(during * 100, 2).alias("retorno_crise_pct"),
+        F.round(before * 100, 2).alias(f"retorno_{names[0]}_pct"),
+        F.round(during * 100, 2).alias(f"retorno_{names[1]}_pct"),
         F.round((during - before) * 100, 2).alias("variacao"),
         resilience_class(before, during).alias("classificacao"),
     )

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from quotewell.functions.parsing import is_filled
+from quotewell.functions.parsing import is_filled, same_text
 
 BAD_LINE = "_bad_line"
 
@@ -169,7 +169,7 @@ def staging_columns(lines: DataFrame, source: CsvSource) -> DataFrame:
     """Well-formed lines of the source: wanted rows and columns, renamed, with the source's literals."""
     rows = lines.filter(F.col(BAD_LINE).isNull())
     for column, value in source.only.items():
-        rows = rows.filter(F.col(column) == value)
+        rows = rows.filter(same_text(F.col(column), F.lit(value)))
     rows = rows.select(
         *[F.col(a).alias(b) for a, b in source.columns.items()],
         *[F.lit(v).alias(c) for c, v in source.literals.items()],

@@ -12,6 +12,7 @@ from quotewell.sources.csv_files import FULL_LOAD, CsvSource, bad_lines, read_te
 from quotewell.sources.store import Store, literal_row
 
 RUNNING, DONE, FAILED, PARTIAL = "EXECUTANDO", "SUCESSO", "ERRO", "PARCIAL"  # fixed values
+REPEATED = "REPETIDO"
 REPORT = struct(
     "id_carga bigint, fonte string, registros_lidos bigint, registros_carregados bigint, registros_erro bigint, status string"
 )
@@ -91,15 +92,23 @@ def load_source(store: Store, source: CsvSource, path: str, checksum: str | None
     return literal_row(spark, REPORT, [load_id, source.name, read, loaded, bad, status])
 
 
-def full_extract(store: Store, paths: dict[str, str], plan: list[tuple[str, CsvSource]] | None = None) -> DataFrame:
+def full_extract(
+    store: Store, paths: dict[str, str], plan: list[tuple[str, CsvSource]] | None = None, skip_repeated: bool = False
+) -> DataFrame:
     """All loads in order. A failing stage is recorded and reported, the others still run.
 
-    `paths` gives the file or folder of each stage. Returns (etapa, fonte, registros_carregados, status).
+    `paths` gives the file or folder of each stage. With `skip_repeated` a delivery whose digest a successful
+    load of the same source has recorded is not loaded again, at the price of reading each file once more.
+    Returns (etapa, fonte, registros_carregados, status).
     """
     report = []
     for stage, source in plan or FULL_LOAD:
         try:
-            row = load_source(store, source, paths[stage]).first()
+            digest = path_digest(store.spark, paths[stage]) if skip_repeated else None
+            if digest and is_repeated(store, source, digest):
+                report.append((stage, source.name, 0, REPEATED))
+                continue
+            row = load_source(store, source, paths[stage], digest).first()
             report.append((stage, source.name, row["registros_carregados"], row["status"]))
         except Exception as problem:
             text = f"Falha na etapa: {stage}"
@@ -121,19 +130,28 @@ def file_checksums(spark: SparkSession, path: str, max_bytes: int = 64 * 1024 *
     )
 
 
+def _digest(lines: DataFrame, *by: str) -> DataFrame:
+    """Line count and a digest of count and summed line hashes: free of line order, folded map-side."""
+    part = F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10).cast("decimal(20,0)")
+    sums = lines.groupBy(*by).agg(F.count("*").alias("linhas"), F.coalesce(F.sum(part), F.lit(0)).alias("_sum"))
+    text = F.concat_ws(":", F.col("linhas"), F.col("_sum").cast("string"))
+    return sums.select(*by, "linhas", F.sha2(text, 256).alias("ds_checksum"))
+
+
 def delivery_digests(spark: SparkSession, path: str) -> DataFrame:
-    """A digest per delivered folder for files of any size: line count and sum of line hashes.
+    """A digest per delivered folder, for files of any size."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    return _digest(lines.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("ds_arquivo"), "value"), "ds_arquivo")
+
+
+def path_digest(spark: SparkSession, path: str) -> str:
+    """The digest of one file or folder as a whole."""
+    return _digest(spark.read.option("recursiveFileLookup", True).text(path)).first()["ds_checksum"]
 
-    It does not depend on line or file order, and folds map-side, so a huge file is no hot group.
-    """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("ds_arquivo"), "value"
-    )
-    part = F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10).cast("decimal(20,0)")
-    sums = lines.groupBy("ds_arquivo").agg(F.count("*").alias("linhas"), F.sum(part).alias("_sum"))
-    return sums.select(
-        "ds_arquivo", "linhas", F.sha2(F.concat_ws(":", F.col("linhas"), F.col("_sum").cast("string")), 256).alias("ds_checksum")
-    )
+
+def is_repeated(store: Store, source: CsvSource, digest: str) -> bool:
+    past = store.read("etl_controle_carga").filter(F.col("ds_status").isin(DONE, PARTIAL) & (F.col("ds_fonte") == source.name))
+    return not past.filter(F.col("ds_checksum") == digest).isEmpty()
 
 
 def unseen_files(checksums: DataFrame, control: DataFrame) -> DataFrame:
@@ -184,6 +202,15 @@ def retained(staging: DataFrame, keep: int, batch: str = "id_carga", state: str
     return staging.join(expired, [batch, state], "left_anti")
 
 
+def drop_expired(store: Store, table: str, source: str, keep: int) -> int:
+    """Remove the folders of a source's processed loads older than the latest `keep`; returns how many."""
+    staging = store.read(table).filter(F.col("ds_fonte") == source)
+    loads = [r[0] for r in expired_batches(staging, keep).collect()]  # one value per load
+    for load_id in loads:
+        store.drop_folder(table, {"ds_fonte": source, "fl_processado": 1, "id_carga": load_id})
+    return len(loads)
+
+
 def failed_rows(log: DataFrame, columns: list[str], load_id: int | None = None) -> DataFrame:
     """Staging rows rebuilt from the JSON kept in the error log, optionally of one load."""
     rows = log.filter("ds_dados IS NOT NULL")

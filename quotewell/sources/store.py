@@ -113,6 +113,13 @@ class Store:
         self.replace_partitions(typed, table)
         self.replace_pending(self.empty(table), table, source, 0)
 
+    def drop_folder(self, table: str, partition: dict[str, object]) -> None:
+        """Delete one partition folder on whatever file system the store lies."""
+        folder = "/".join([self.path(table), *[f"{column}={value}" for column, value in partition.items()]])
+        jvm = self.spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Write a whole snapshot. The frame must not read the same table."""
         rows, layout = self._gathered(self.fit(df, table), table), self.layout(table)

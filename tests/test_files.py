@@ -152,6 +152,26 @@ def test_reload_replaces_pending_and_keeps_processed(store, files, tmp_path):
     assert rows_of(store.read("stg_indicadores_macro").groupBy("fl_processado").count(), "fl_processado") == [(1, 3)]
 
 
+def test_old_processed_loads_are_dropped(store, files):
+    source = csv_files.series_source("SELIC", "11")
+    for _ in range(3):
+        loading.load_source(store, source, files["BCB_SELIC"])
+        pending = store.read("stg_indicadores_macro").filter("fl_processado = 0")
+        store.settle(pending.withColumn("fl_processado", F.lit(1)), "stg_indicadores_macro", source.name)
+    loading.load_source(store, source, files["BCB_SELIC"])
+    assert loading.drop_expired(store, "stg_indicadores_macro", source.name, keep=1) == 2
+    found = rows_of(store.read("stg_indicadores_macro").groupBy("fl_processado", "id_carga").count(), "id_carga")
+    assert found == [(1, 3, 3), (0, 4, 3)]
+
+
+def test_repeated_delivery_is_skipped(store, files):
+    plan = [step for step in csv_files.FULL_LOAD if step[0] in ("BCB_SELIC", "BCB_CDI")]
+    for status in ("SUCESSO", "REPETIDO"):
+        report = loading.full_extract(store, files, plan, skip_repeated=True)
+        assert {r.status for r in report.collect()} == {status}
+    assert store.read("stg_indicadores_macro").count() == 3
+
+
 def test_marks_move_to_the_latest_date_loaded(spark, store):
     days = spark.createDataFrame([(date(2024, 1, 5),), (date(2024, 1, 9),)], "d date")
     assert loading.read_mark(store, "ULTIMA_CARGA_COTACAO") == "1900-01-01"

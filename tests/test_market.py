@@ -33,6 +33,7 @@ def test_resilience_rows(spark):
     rows = [(a, d, Decimal(r)) for a, pair in years.items() for d, r in zip((20190601, 20200601), pair) if r]
     quotes = spark.createDataFrame(rows, "id_acao int, id_data int, vl_retorno_diario decimal(10,6)")
     classified = market.resilience(quotes, acao, empresa, setor)
+    assert classified.columns[2:4] == ["retorno_2019_pct", "retorno_2020_pct"]
     assert rows_of(classified.drop("ds_setor"), F.desc("variacao")) == [
         ("B", -20.0, -10.0, 10.0, "Resiliente"),
         ("C", -20.0, -16.0, 4.0, "Impactada"),
