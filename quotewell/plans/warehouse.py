@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from quotewell.functions.calendar import build_calendar, date_key
 from quotewell.functions.parsing import share_type
@@ -24,10 +24,8 @@ MONTHLY_SERIES = ["IPCA"]  # fixed value: filed once a month, repeated for every
 def create_tables(store: Store, first: str = "2000-01-01", last: str = "2024-12-31", holidays: DataFrame | None = None) -> None:
     """Seed rows and the calendar, once."""
     for table in seed_names():
-        if store.read(table).isEmpty():
-            store.append(seed_table(store.spark, table), table)
-    if store.read("dim_data").isEmpty():
-        store.append(build_calendar(store.spark, first, last, holidays), "dim_data")
+        store.write_once(seed_table(store.spark, table), table)
+    store.write_once(build_calendar(store.spark, first, last, holidays), "dim_data")
 
 
 def settle_staging(store: Store, table: str, source: str) -> DataFrame:
@@ -41,7 +39,8 @@ def settle_staging(store: Store, table: str, source: str) -> DataFrame:
     loads = [r["id_carga"] for r in pending.select("id_carga").distinct().collect()]  # one value per load
     states = apply_typing(pending.drop("ds_erro", "fl_processado"), typing, keep_raw=True)
     states = states.select("id_staging", "id_carga", "ds_fonte", "dt_carga", "_raw.*", "fl_processado", "ds_erro")
-    store.settle(states, table, source)
+    seen = Observation()
+    store.settle(states.observe(seen, F.count_if(F.col("fl_processado") == REJECTED).alias("rejects")), table, source)
     done = store.read(table).filter((F.col("ds_fonte") == source) & F.col("id_carga").isin(loads))
     rejects = done.filter(F.col("fl_processado") == REJECTED).select(
         "id_carga",
@@ -51,7 +50,8 @@ def settle_staging(store: Store, table: str, source: str) -> DataFrame:
         "ds_erro",
         F.to_json(F.struct(*typing.raw()), {"ignoreNullFields": "false"}).alias("ds_dados"),
     )
-    log_errors(store, rejects)
+    if loads and seen.get["rejects"]:
+        log_errors(store, rejects)
     kept = done.filter(F.col("fl_processado") == PASSED)
     return apply_typing(kept.drop("ds_erro", "fl_processado"), typing).drop("ds_erro", "ds_dados", "fl_processado")
 
@@ -66,7 +66,8 @@ def log_unknown(store: Store, rows: DataFrame, key: str, natural: str, source: s
         F.lit(f"unknown {natural}").alias("ds_erro"),
         F.to_json(F.struct(natural, "dt_data")).alias("ds_dados"),
     )
-    log_errors(store, lost)
+    if not lost.isEmpty():
+        log_errors(store, lost)
     return rows.filter(F.col(key).isNotNull())
 
 

@@ -32,6 +32,7 @@ def as_batch(rows: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def next_id(store: Store, table: str, column: str) -> int:
+    """One above the highest number in use."""
     return (store.read(table).agg(F.max(column)).first()[0] or 0) + 1
 
 

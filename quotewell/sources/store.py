@@ -49,6 +49,11 @@ class Store:
         (writer.partitionBy(*layout) if layout else writer).parquet(self.path(table))
         self._created.add(table)
 
+    def write_once(self, df: DataFrame, table: str) -> None:
+        """Fill a table that does not exist yet; leave one that does."""
+        self.fit(df, table).write.mode("ignore").parquet(self.path(table))
+        self._created.add(table)
+
     def empty(self, table: str) -> DataFrame:
         return literal_row(self.spark, self.schema(table), []).limit(0)
 
@@ -111,7 +116,7 @@ class Store:
         The settled rows replace the folders of their own load, so a repeat after a failure adds nothing.
         """
         self.replace_partitions(typed, table)
-        self.replace_pending(self.empty(table), table, source, 0)
+        self.drop_folder(table, {"ds_fonte": source, "fl_processado": 0})
 
     def drop_folder(self, table: str, partition: dict[str, object]) -> None:
         """Delete one partition folder on whatever file system the store lies."""
