@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
+from pyspark.sql import DataFrame, Window as W, WindowSpec, functions as F
 
 from quotewell.functions.calendar import date_key, date_of
-from quotewell.operators.returns import change_on_previous, history
+from quotewell.operators.returns import history
+
+
+def backward(key: str, day: str) -> WindowSpec:
+    return W.partitionBy(key).orderBy(F.desc(day))
 
 
 def split_events(splits: DataFrame, key: str = "id_acao", day: str = "id_data") -> DataFrame:
@@ -38,8 +42,8 @@ def with_adjustment(
 
     A split divides the closes before its date. A dividend D multiplies closes up to `dt_ex` by (P - D)/P,
     P being the last close by then; a factor not above zero is ignored. Events join the quotes as rows of
-    the same history, so one shuffle and one sort by share serve every window, and an event on a day without
-    a session needs no special case.
+    the same history, so one shuffle by share serves every window, and an event on a day without a session
+    needs no special case. Products run from the latest day back, so they hold only events still to come.
     """
     kept = [c for c in quotes.columns if c not in (key, day)]
     rows = quotes.select(key, day, F.struct(*kept).alias("_quote"), F.col(close).cast("double").alias("_close"))
@@ -49,22 +53,17 @@ def with_adjustment(
     ):
         if events is not None:
             rows = rows.unionByName(events, allowMissingColumns=True)
-    over = history(key, day)
-    everything = over.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-
-    def later(event: str, before: WindowSpec) -> Column:
-        """Product of the events still to come: all of them over those in the frame `before`."""
-        product = F.coalesce(F.product(event).over(everything), F.lit(1.0))
-        return product / F.coalesce(F.product(event).over(before), F.lit(1.0))
-
+    latest_first = backward(key, day)
     factor = F.lit(1.0)
     if dividends is not None:
-        price = F.last("_close", ignorenulls=True).over(over)
+        price = F.last("_close", ignorenulls=True).over(history(key, day))
         kept_share = F.try_divide(price - F.col("_dividend"), price)
         rows = rows.withColumn("_kept", F.when(F.col("_dividend").isNotNull() & (kept_share > 0), kept_share))
-        factor = factor * later("_kept", over.rangeBetween(W.unboundedPreceding, -1))
+        from_here_on = latest_first.rangeBetween(W.unboundedPreceding, 0)
+        factor = factor * F.coalesce(F.product("_kept").over(from_here_on), F.lit(1.0))
     if splits is not None:
-        factor = factor / later("_split", over.rangeBetween(W.unboundedPreceding, 0))
+        after_here = latest_first.rangeBetween(W.unboundedPreceding, -1)
+        factor = F.try_divide(factor, F.coalesce(F.product("_split").over(after_here), F.lit(1.0)))
     return (
         rows.withColumn("fator_ajuste", factor)
         .filter(F.col("_quote").isNotNull())
@@ -82,12 +81,13 @@ def adjusted_prices(
 ) -> DataFrame:
     """Adjusted close and the return on it, one row per share and session.
 
-    Between sessions with the same factor the adjusted return is the plain one, and as exact.
+    Between sessions with the same factor the adjusted return is the plain one, and as exact. Sessions stay in
+    the descending order of the adjustment, where the session before is the next row.
     """
-    over = history(key, day)
+    over = backward(key, day)
     rows = with_adjustment(quotes.select(key, day, close), splits, dividends, close, key, day)
-    rows = rows.withColumn("_plain", change_on_previous(close, over))
-    step = F.try_divide(F.col("fator_ajuste"), F.lag("fator_ajuste").over(over))
+    rows = rows.withColumn("_plain", F.try_divide(F.col(close), F.lead(close).over(over)) - 1)
+    step = F.try_divide(F.col("fator_ajuste"), F.lead("fator_ajuste").over(over))
     adjusted = (1 + F.col("_plain").cast("double")) * step - 1
     return rows.select(
         key,

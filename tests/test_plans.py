@@ -44,12 +44,12 @@ def test_two_windows_take_one_scan_and_one_shuffle(fact):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "partial_product" in text
 
 
-def test_adjustment_shuffles_quotes_once_and_sorts_once(fact):
+def test_adjustment_shuffles_quotes_once_and_sorts_each_way_once(fact):
     from quotewell.operators.corporate import adjusted_prices
 
     m, quotes = fact
     text = plan(adjusted_prices(quotes.select("id_acao", "id_data", "vl_fechamento"), m.splits, m.dividends))
-    assert text.count("Sort ") == 1
+    assert text.count("Sort ") == 2
     assert text.count("hashpartitioning(id_acao#") == 3  # the union by share; splits and dividends by share and day
 
 

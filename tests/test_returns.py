@@ -106,6 +106,15 @@ def test_several_events_and_impossible_dividends(bars, spark):
     assert [r[2] for r in found] == [10, 10, 10]
 
 
+def test_thousands_of_events_do_not_break_the_factor(spark, bars):
+    days = [20200101 + i for i in range(6000)]
+    splits = spark.createDataFrame([(1, d, Decimal("9999")) for d in days], SPLIT)
+    found = rows_of(corporate.adjusted_prices(bars({1: ["10", "11"]}), splits, None), "id_data")
+    assert [r[2] for r in found] == [10, 11]
+    early = spark.createDataFrame([(1, 20190101, Decimal("10"))], "id_acao int, id_data int, vl_fechamento decimal(18,4)")
+    assert rows_of(corporate.adjusted_prices(early, splits, None))[0][2] == 0.0
+
+
 def test_trailing_dividends_against_brute_force(spark):
     from datetime import date, timedelta
 
