@@ -11,8 +11,14 @@ from quotewell.functions.labels import resilience_class, volume_status
 from quotewell.functions.valuation import dividend_yield, ev_ebitda, market_cap, price_earnings, return_on_equity
 from quotewell.operators import aggregates, joins, typed
 from quotewell.operators.returns import cumulative_returns
-from quotewell.plans.market import crisis_phases, two_period_returns
-from quotewell.plans.validation import busiest_tickers, indicator_coverage, sector_distribution, sessions_per_share
+from quotewell.plans.market import two_period_returns
+from quotewell.plans.validation import (
+    busiest_tickers,
+    indicator_coverage,
+    latest_errors,
+    sector_distribution,
+    sessions_per_share,
+)
 
 # ---- projections and filters ----------------------------------------------------------------------
 
@@ -462,12 +468,12 @@ LATEST = """SELECT id_erro, CAST(id_carga AS DOUBLE) AS id_carga, ds_etapa, ds_f
 
 @query("sl2_latest20", sql("errorlog", LATEST.format(n=20)))
 def sl2(m):
-    return nullable_counts(aggregates.top(m.errors, 20, F.desc("dt_erro"), F.desc("id_erro")), "id_carga")
+    return nullable_counts(latest_errors(m.errors), "id_carga")
 
 
 @query("sl3_latest100", sql("errorlog", LATEST.format(n=100)))
 def sl3(m):
-    return nullable_counts(aggregates.top(m.errors, 100, F.desc("dt_erro"), F.desc("id_erro")), "id_carga")
+    return nullable_counts(latest_errors(m.errors, 100), "id_carga")
 
 
 @query(

@@ -86,9 +86,3 @@ def build_calendar(
     """One row per day from `first` to `last`."""
     bounds = spark.range(1).select(F.lit(str(first)).cast("date").alias("a"), F.lit(str(last)).cast("date").alias("b"))
     return calendar_columns(bounds.select(F.explode(F.sequence("a", "b")).alias("dt_data")), holidays)
-
-
-def calendar_spanning(facts: DataFrame, day: str, holidays: DataFrame | None = None) -> DataFrame:
-    """One row per day between the earliest and the latest date found in `facts`."""
-    bounds = facts.agg(F.min(day).alias("a"), F.max(day).alias("b")).filter("a IS NOT NULL")
-    return calendar_columns(bounds.select(F.explode(F.sequence("a", "b")).alias("dt_data")), holidays)

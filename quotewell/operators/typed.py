@@ -146,17 +146,6 @@ def apply_typing(staging: DataFrame, typing: Typing, keep_raw: bool = False) ->
     )
 
 
-def reject_unknown(typed: DataFrame, key: str, message: str) -> DataFrame:
-    """Turn passed rows whose looked-up key is NULL into rejects."""
-    unknown = (F.col("fl_processado") == PASSED) & F.col(key).isNull()
-    return typed.withColumns(
-        {
-            "ds_erro": F.when(unknown, message).otherwise(F.col("ds_erro")),
-            "fl_processado": F.when(unknown, REJECTED).otherwise(F.col("fl_processado")),
-        }
-    )
-
-
 def passed(typed: DataFrame) -> DataFrame:
     return typed.filter(F.col("fl_processado") == PASSED).drop("fl_processado", "ds_erro", "ds_dados")
 

@@ -6,11 +6,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from quotewell.functions.calendar import between_days, date_of, year_of
+from quotewell.functions.calendar import between_days, date_of
 from quotewell.functions.labels import resilience_class
 from quotewell.operators.aggregates import TRADING_DAYS_PER_MONTH, exact_mean, monthly_mean
 from quotewell.operators.joins import broadcast_if_small, share_dimensions, tag_periods
-from quotewell.operators.returns import change_on_previous, cumulative_returns, history
+from quotewell.operators.returns import change_on_previous, cumulative_returns
 
 Day = date | str
 

@@ -10,7 +10,6 @@ from quotewell.functions.calendar import date_of
 from quotewell.functions.labels import volume_status
 from quotewell.operators.aggregates import coverage, table_counts, top
 from quotewell.operators.joins import left_chain_counts
-from quotewell.operators.quality import minimum_rows
 from quotewell.session import with_checkpoint_dir
 
 COUNTED = [
@@ -24,14 +23,6 @@ def sessions_per_share(quotes: DataFrame) -> DataFrame:
     return coverage(quotes, "id_acao", "id_data", "pregoes", "_first", "_last")
 
 
-def general_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    return table_counts({name: tables[name] for name in COUNTED if name in tables})
-
-
-def quote_volume(quotes: DataFrame, minimum: int = 200_000) -> DataFrame:
-    return minimum_rows(quotes, minimum)
-
-
 def busiest_tickers(per_share: DataFrame, acao: DataFrame, n: int = 20) -> DataFrame:
     """Tickers with the most sessions."""
     named = per_share.join(acao.select("id_acao", "cd_ticker"), "id_acao").select(

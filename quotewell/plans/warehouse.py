@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from quotewell.functions.calendar import build_calendar, date_key
-from quotewell.functions.parsing import share_type
+from quotewell.functions.parsing import share_type, statement_period
 from quotewell.operators.corporate import adjusted_prices
 from quotewell.operators.fundamentals import MEASURES, indicator_fact, latest_versions, statement_measures
 from quotewell.operators.joins import expand_monthly, insert_if_absent, keep_first, lookup_key, scd1_upsert
@@ -143,13 +143,15 @@ def load_quotes(store: Store, rows: DataFrame) -> None:
         .withColumn("_known", F.lit(True))
     )
     both = with_daily_return(new.unionByName(earlier, allowMissingColumns=True))
-    store.append(with_amplitude(both.filter("_known IS NULL").withColumn("dt_carga", F.current_timestamp())), "fato_cotacao", ["id_acao", "id_data"])
+    rows = with_amplitude(both.filter("_known IS NULL")).withColumn("dt_carga", F.current_timestamp())
+    store.append(rows, "fato_cotacao", ["id_acao", "id_data"])
 
 
 def load_series(store: Store, rows: DataFrame, indicator: str) -> None:
     """New (indicator, day) values; monthly series are repeated for every day of their month."""
     if indicator in MONTHLY_SERIES:
-        rows = expand_monthly(keep_first(rows.withColumn("_m", F.trunc("dt_data", "month")), ["_m"], [F.col("id_staging")]).drop("_m"), "dt_data")
+        first = keep_first(rows.withColumn("_month", F.trunc("dt_data", "month")), ["_month"], [F.col("id_staging")])
+        rows = expand_monthly(first.drop("_month"), "dt_data")
     rows = lookup_key(rows, store.read("dim_indicador_macro"), "cd_indicador", "id_indicador")
     rows = log_unknown(store, rows, "id_indicador", "cd_indicador", f"BCB_{indicator}").withColumn("id_data", date_key(F.col("dt_data")))
     rows = rows.withColumn("nr_ano", F.year("dt_data"))
@@ -158,12 +160,12 @@ def load_series(store: Store, rows: DataFrame, indicator: str) -> None:
     store.append(new.withColumn("dt_carga", F.current_timestamp()), "fato_indicador_macro", ["id_indicador", "id_data"])
 
 
-def load_statements(store: Store, rows: DataFrame, period: str = "ANUAL") -> None:
+def load_statements(store: Store, rows: DataFrame, family: str = "DFP") -> None:
     """Latest version of every account, pivoted to one row per company, date and statement type."""
     last = latest_versions(rows, ["cd_cvm", "dt_data", "cd_conta", "ds_tipo_dem"], "nr_versao", F.col("id_staging"))
     wide = statement_measures(last, ["cd_cvm", "dt_data"])
     wide = lookup_key(wide, store.read("dim_empresa"), "cd_cvm", "id_empresa").filter("id_empresa IS NOT NULL")
-    wide = wide.withColumn("id_data", date_key(F.col("dt_data"))).withColumn("ds_tipo_dem", F.lit(period))
+    wide = wide.withColumn("id_data", date_key(F.col("dt_data"))).withColumn("ds_tipo_dem", statement_period(F.lit(family)))
     keys = ["id_empresa", "id_data", "ds_tipo_dem"]
     new = insert_if_absent(store.read("fato_dem_financeira"), wide, keys, [F.col("id_data")], prune_on=["id_data"])
     store.append(new.withColumn("dt_carga", F.current_timestamp()), "fato_dem_financeira")

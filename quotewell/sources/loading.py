@@ -52,13 +52,18 @@ def log_errors(store: Store, errors: DataFrame, **constants: object) -> None:
 
 
 def load_source(store: Store, source: CsvSource, path: str, checksum: str | None = None) -> DataFrame:
-    """Land one file in staging. Returns the report row; a failure is recorded and raised.
+    """Land one file in staging. Returns the report row; a failure is recorded and raised."""
+    load_id = next_id(store, "etl_controle_carga", "id_carga")
+    return literal_row(store.spark, REPORT, list(_land(store, source, path, checksum, load_id)))
+
+
+def _land(store: Store, source: CsvSource, path: str, checksum: str | None, load_id: int) -> tuple:
+    """The load itself; gives the values of the report row.
 
     Lines are parsed once: counts come from the write itself. Only when bad lines were seen does a second
     pass move their text to the error log.
     """
     spark = store.spark
-    load_id = next_id(store, "etl_controle_carga", "id_carga")
     started = _utc_now()
 
     def close(status: str, read: int | None, loaded: int | None, bad: int | None, message: str | None) -> None:
@@ -90,7 +95,7 @@ def load_source(store: Store, source: CsvSource, path: str, checksum: str | None
         raise
     status = PARTIAL if bad else DONE
     close(status, read, loaded, bad, None)
-    return literal_row(spark, REPORT, [load_id, source.name, read, loaded, bad, status])
+    return load_id, source.name, read, loaded, bad, status
 
 
 def full_extract(
@@ -103,14 +108,15 @@ def full_extract(
     Returns (etapa, fonte, registros_carregados, status).
     """
     report = []
-    for stage, source in plan or FULL_LOAD:
+    first = next_id(store, "etl_controle_carga", "id_carga")
+    for load_id, (stage, source) in enumerate(plan or FULL_LOAD, start=first):
         try:
             digest = path_digest(store.spark, paths[stage]) if skip_repeated else None
             if digest and is_repeated(store, source, digest):
                 report.append((stage, source.name, 0, REPEATED))
                 continue
-            row = load_source(store, source, paths[stage], digest).first()
-            report.append((stage, source.name, row["registros_carregados"], row["status"]))
+            _, _, _, loaded, _, status = _land(store, source, paths[stage], digest, load_id)
+            report.append((stage, source.name, loaded, status))
         except Exception as problem:
             text = f"Falha na etapa: {stage}"
             message = str(problem).splitlines()[0]

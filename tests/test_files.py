@@ -78,11 +78,9 @@ def files(tmp_path):
         "BCB_SELIC": write("series.csv", SERIES_LINES),
         "BCB_IPCA": write("ipca.csv", "data;valor\n31/01/2024;0,42\n"),
         "BCB_CAMBIO": str(tmp_path / "missing.csv"),
-        "BCB_CDI": write("cdi.csv", "data;valor\n"),
+        "BCB_CDI": write("cdi.csv", "data;valor\n01/01/2024;1\n"),
         "CVM_CADASTRO": write("registry.csv", REGISTRY_LINES, "latin-1"),
         "CVM_DFP_DRE": write("dre.csv", STATEMENT_LINES, "latin-1"),
-        "CVM_DFP_BPA": write("bpa.csv", HEADER + "\n", "latin-1"),
-        "CVM_DFP_BPP": write("bpp.csv", HEADER + "\n", "latin-1"),
         "DIVIDENDOS": write("dividends.csv", DIVIDEND_LINES),
         "DESDOBRAMENTOS": write("splits.csv", SPLIT_LINES),
     }
@@ -169,7 +167,7 @@ def test_repeated_delivery_is_skipped(store, files):
     for status in ("SUCESSO", "REPETIDO"):
         report = loading.full_extract(store, files, plan, skip_repeated=True)
         assert {r.status for r in report.collect()} == {status}
-    assert store.read("stg_indicadores_macro").count() == 3
+    assert store.read("stg_indicadores_macro").count() == 4
 
 
 def test_marks_move_to_the_latest_date_loaded(spark, store):
@@ -215,11 +213,12 @@ def test_stream_takes_every_file_once(spark, tmp_path):
 def test_whole_run_twice(spark, store, files):
     tickers = spark.createDataFrame([("PETR4", "9512", 1000), ("VALE3", "4170", 2000)], "cd_ticker string, cd_cvm string, nr_total_acoes bigint")
     sectors = spark.createDataFrame([("Petróleo", "PETRO")], "ds_setor_atividade string, cd_setor string")
+    plan = [step for step in csv_files.FULL_LOAD if step[0] not in ("BCB_CDI", "CVM_DFP_BPA", "CVM_DFP_BPP")]
     for _ in range(2):
-        report = run_all(store, files, tickers, sectors=sectors, first="2023-01-01", last="2024-12-31", window=2)
+        report = run_all(store, files, tickers, plan, sectors, "2023-01-01", "2024-12-31", window=2)
         states = {r.etapa: (r.registros_carregados, r.status) for r in report.collect()}
         assert states["COTACOES"] == (8, "PARCIAL") and states["BCB_CAMBIO"] == (0, "ERRO")
-        assert states["DESDOBRAMENTOS"] == (2, "SUCESSO") and states["BCB_CDI"] == (0, "SUCESSO")
+        assert states["DESDOBRAMENTOS"] == (2, "SUCESSO") and states["BCB_SELIC"] == (3, "SUCESSO")
         quotes = store.read("fato_cotacao").select("id_data", "vl_fechamento", "vl_amplitude", "vl_retorno_diario")
         assert rows_of(quotes, "id_data") == [(20240115, 33.1, 1.6, None), (20240116, 32.4, 1.2, -0.021148)]
         macro = store.read("fato_indicador_macro").groupBy("id_indicador").count()
