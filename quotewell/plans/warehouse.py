@@ -123,28 +123,45 @@ def rewrite_dimension(store: Store, table: str, merged: DataFrame, natural: str,
     store.overwrite(store.spark.read.parquet(beside), table)
 
 
+def last_close(quotes: DataFrame) -> DataFrame:
+    """Latest session of every share with its close: one row per share, folded map-side."""
+    return quotes.groupBy("id_acao").agg(
+        F.max("id_data").alias("id_data"), F.max_by("vl_fechamento", "id_data").alias("vl_fechamento")
+    )
+
+
 def load_quotes(store: Store, rows: DataFrame) -> None:
-    """New (share, day) quotes appended to the fact with amplitude and return.
+    """New (share, day) quotes into the fact, with amplitude and return.
 
-    The return on a batch's first day needs the last close before it: one row per share, taken from the fact
-    by an aggregate.
+    A batch later than what the fact holds is appended; the return on its first day takes one row per share
+    from the fact. Quotes that fill earlier days also change the return of the session after them: then the
+    years from the first new one on are computed again and replaced.
     """
     rows = lookup_key(rows, store.read("dim_acao"), "cd_ticker", "id_acao")
     rows = log_unknown(store, rows, "id_acao", "cd_ticker", "KAGGLE_COTACAO").withColumn("id_data", date_key(F.col("dt_data")))
     rows = rows.withColumn("nr_ano", F.year("dt_data"))
     fact = store.read("fato_cotacao")
     new = insert_if_absent(fact, rows, ["id_acao", "id_data"], [F.col("id_staging")], prune_on=["nr_ano", "id_data"])
-    first_days = new.groupBy("id_acao").agg(F.min("id_data").alias("_first"))
-    earlier = (
-        fact.join(first_days, "id_acao")
-        .filter(F.col("id_data") < F.col("_first"))
-        .groupBy("id_acao")
-        .agg(F.max("id_data").alias("id_data"), F.max_by("vl_fechamento", "id_data").alias("vl_fechamento"))
-        .withColumn("_known", F.lit(True))
+    new = new.withColumn("dt_carga", F.current_timestamp()).select(
+        "id_acao", "id_data", "nr_ano", "vl_abertura", "vl_fechamento", "vl_maximo", "vl_minimo", "vl_volume", "dt_carga"
+    )
+    seeds = last_close(fact)
+    held_until = seeds.select("id_acao", F.col("id_data").alias("_held"))
+    late, first_year = (
+        new.join(held_until, "id_acao", "left").agg(F.count_if(F.col("id_data") < F.col("_held")), F.min("nr_ano")).first()
     )
-    both = with_daily_return(new.unionByName(earlier, allowMissingColumns=True))
-    rows = with_amplitude(both.filter("_known IS NULL")).withColumn("dt_carga", F.current_timestamp())
-    store.append(rows, "fato_cotacao", ["id_acao", "id_data"])
+    if not late:
+        store.append(_with_returns(new, seeds), "fato_cotacao", ["id_acao", "id_data"])
+        return
+    from_then_on = F.col("nr_ano") >= first_year
+    again = fact.filter(from_then_on).select(new.columns).unionByName(new)
+    store.replace_partitions(_with_returns(again, last_close(fact.filter(~from_then_on))), "fato_cotacao")
+
+
+def _with_returns(quotes: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Amplitude and return, the first row of each share measured against its seed."""
+    both = quotes.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
+    return with_amplitude(with_daily_return(both).filter("_seed IS NULL").drop("_seed"))
 
 
 def load_series(store: Store, rows: DataFrame, indicator: str) -> None:

@@ -246,6 +246,26 @@ def test_whole_run_twice(spark, store, files):
     assert [tuple(r)[:2] for r in broken.collect()] == []
 
 
+def test_late_quotes_correct_the_session_after_them(spark, store):
+    from quotewell.plans.warehouse import load_quotes
+
+    store.append(spark.createDataFrame([(1, "A"), (2, "B")], "id_acao int, cd_ticker string"), "dim_acao")
+
+    def batch(*quotes):
+        rows = [(i, 1, d[11:] or "A", date.fromisoformat(d[:10]), c, c, c, c, 1) for i, (d, c) in enumerate(quotes)]
+        columns = "id_staging long, id_carga long, cd_ticker string, dt_data date, vl_abertura double, vl_fechamento double, "
+        df = spark.createDataFrame(rows, columns + "vl_maximo double, vl_minimo double, vl_volume long")
+        prices = ["vl_abertura", "vl_fechamento", "vl_maximo", "vl_minimo"]
+        load_quotes(store, df.withColumns({c: F.col(c).cast("decimal(18,4)") for c in prices}))
+        return rows_of(store.read("fato_cotacao").select("id_data", "vl_retorno_diario"), "id_data")
+
+    assert batch(("2022-12-30", 10.0), ("2023-01-03", 11.0)) == [(20221230, None), (20230103, 0.1)]
+    assert batch(("2023-01-04", 22.0), ("2023-01-03", 99.0))[2:] == [(20230104, 1.0)]
+    assert batch(("2023-01-02", 20.0), ("2023-01-05", 11.0), ("2021-05-03 B", 7.0)) == [
+        (20210503, None), (20221230, None), (20230102, 1.0), (20230103, -0.45), (20230104, 1.0), (20230105, -0.5),
+    ]
+
+
 def test_failed_rows_come_back_from_the_log(spark, store, files):
     loading.load_source(store, csv_files.QUOTES, files["COTACOES"])
     from quotewell.plans.warehouse import settle_staging
