@@ -1,4 +1,4 @@
-"""Connected components of a graph of edges, each node's label being its smallest node."""
+"""Connected components of a graph of edges, each node's label being its smallest node; tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -13,6 +13,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes to be none of the columns."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of every node with an edge, by alternating large and small stars until nothing changes.
 

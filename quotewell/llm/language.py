@@ -12,7 +12,7 @@ As embedding and output layers are both linear, prediction gathers one row of lo
 is fixed by the number of languages (2^18 rows of 4 bytes each), so it is broadcast.
 
 Defined results: null text, text without letters, and every text when nothing could be learned: `und`, score 0,
-rejected. Rows without a language are predicted but not learned from. Other columns are ignored (or carried).
+rejected. Rows without a language are predicted but not learned from. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -212,28 +212,34 @@ def learn(docs: DataFrame, label: str = "lang", text: str = "text", per_language
     return fit([b for b in bags if len(b[1])])
 
 
-def predicted(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
-    """(key, lang_pred, score, rejected) of every row; with `carry` all columns of the input but those three."""
-    made = ["lang_pred", "score", "rejected"]
-    through = [c for c in docs.columns if c not in made] if carry else [key]
-    source = docs.select(text, *[c for c in through if c != text])
-    names = [c for c in source.columns if c in through]
+def predicted(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, lang_pred, score, rejected) of every row, without a shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*names).schema]
+    names = [key, "lang_pred", "score", "rejected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         labels = np.array([*own.languages, NONE], object)
         for batch in batches:
-            for a, b, data, offsets in words.slices(batch.column(0)):
+            for a, b, data, offsets in words.slices(batch.column(1)):
                 best, score, rejected = own.predict(data, offsets)
-                rows = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(n) for n in names), pa.array(labels[best], pa.string()), pa.array(score, pa.float64()), pa.array(rejected)],
-                    [*names, *made],
-                )
+                arrays = [batch.column(0).slice(a, b - a), pa.array(labels[best], pa.string()), pa.array(score, pa.float64()), pa.array(rejected)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return source.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double", "rejected boolean"]))
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+
+
+def accepted_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns as they are, that the model does not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in words.slices(batch.column(at)):
+                yield batch.slice(a, b - a).filter(pa.array(~shared.value.predict(data, offsets)[2]))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out(key: str = "doc_id") -> Column:

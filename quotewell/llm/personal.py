@@ -178,5 +178,6 @@ def digest(rows: DataFrame, key: str = "doc_id") -> DataFrame:
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
     base = F.filter("spans", lambda s: s["place"] < len(KINDS))
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["place"] == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    places = F.transform("spans", lambda s: s["place"])
+    counts = [F.size(F.filter(places, lambda p: p == i)).cast("bigint").alias(f"n_{k}") for i, k in enumerate(KINDS)]  # noqa: B023
     return rows.select(key, *counts, F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))

@@ -113,38 +113,45 @@ def measure(data: np.ndarray, offsets: np.ndarray, min_repeat: int) -> dict[str,
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat", "n_covered_words"]
 
 
-def judged(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    min_words: int = 50,
-    max_repeat_percent: int = 50,
-    min_repeat: int = 8,
-    max_covered: float = 0.5,
-    max_longest: int = 30,
-    max_longest_share: float = 0.2,
-    carry: bool = False,
-) -> DataFrame:
-    """(key, counts, base_failed, kept) of every row, without a shuffle. With `carry`, also all columns of the input
-    (those named like a count or verdict are replaced by it)."""
-    made = [*COUNTS, "base_failed", "kept"]
-    through = [c for c in docs.columns if c not in made] if carry else [key]
-    source = docs.select(text, *[c for c in through if c != text])
-    names = source.columns if carry or key == text else [key]
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*names).schema]
+def verdicts(
+    c: dict[str, np.ndarray], min_words: int, max_repeat_percent: int, max_covered: float, max_longest: int, max_longest_share: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """(base_failed, kept) of counted texts."""
+    failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > max_repeat_percent * c["n_words"])
+    repeats = c["n_covered_words"] > max_covered * c["n_words"]
+    long = (c["longest_repeat"] > max_longest) & (c["longest_repeat"] > max_longest_share * c["n_words"])
+    return failed, ~(failed | repeats | long)
+
+
+LIMITS = {"min_words": 50, "max_repeat_percent": 50, "max_covered": 0.5, "max_longest": 30, "max_longest_share": 0.2}
+
+
+def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", min_repeat: int = 8, **limits: float) -> DataFrame:
+    """(key, counts, base_failed, kept) of every row, without a shuffle. `limits` replace LIMITS."""
+    limits = {**LIMITS, **limits}
+    names = [key, *COUNTS, "base_failed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in words.slices(batch.column(0)):
+            for a, b, data, offsets in words.slices(batch.column(1)):
                 c = measure(data, offsets, min_repeat)
-                failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > max_repeat_percent * c["n_words"])
-                repeats = c["n_covered_words"] > max_covered * c["n_words"]
-                long = (c["longest_repeat"] > max_longest) & (c["longest_repeat"] > max_longest_share * c["n_words"])
-                rows = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(n) for n in names), *(pa.array(c[n].astype(np.int64)) for n in COUNTS), pa.array(failed), pa.array(~(failed | repeats | long))],
-                    [*names, *made],
-                )
-
-    schema = ", ".join([*fields, *(f"{n} bigint" for n in COUNTS), "base_failed boolean", "kept boolean"])
-    return source.mapInArrow(run, schema)
+                verdict = verdicts(c, **limits)
+                arrays = [batch.column(0).slice(a, b - a), *(pa.array(c[n].astype(np.int64)) for n in COUNTS), *map(pa.array, verdict)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    counts = ", ".join(f"{n} bigint" for n in COUNTS)
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, {counts}, base_failed boolean, kept boolean")
+
+
+def kept_rows(docs: DataFrame, text: str = "text", min_repeat: int = 8, **limits: float) -> DataFrame:
+    """The rows of `docs`, with all their columns as they are, whose text is kept."""
+    limits = {**LIMITS, **limits}
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in words.slices(batch.column(at)):
+                _, kept = verdicts(measure(data, offsets, min_repeat), **limits)
+                yield batch.slice(a, b - a).filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -19,6 +19,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from quotewell.llm.graph import unused
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -115,12 +117,12 @@ def findings(spark: SparkSession, ledger: str, rules: list[Rule] = RULES) -> Dat
     return each.filter("place IS NOT NULL").groupBy("blob").agg(F.array_sort(F.collect_set(one)).alias("found"))
 
 
-def found_in(versions: DataFrame, ledger: str, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
-    """All rows of `versions` with `found`, the findings of their text (empty where there are none)."""
-    found = findings(versions.sparkSession, ledger, rules).withColumnRenamed("blob", "_blob").withColumnRenamed("found", "_found")
-    none = F.array().cast(found.schema["_found"].dataType)
-    rows = versions.withColumn("_blob", address(F.col(text))).join(found, "_blob", "left").drop("_blob")
-    return rows.drop("found").withColumn("found", F.coalesce("_found", none)).drop("_found")
+def found_in(versions: DataFrame, ledger: str, rules: list[Rule] = RULES, text: str = "text", into: str = "found") -> DataFrame:
+    """All rows and columns of `versions` and, as `into`, the findings of their text (empty where there are none)."""
+    blob = unused(versions, "blob")
+    found = findings(versions.sparkSession, ledger, rules).withColumnsRenamed({"blob": blob, "found": into})
+    none = F.array().cast(found.schema[into].dataType)
+    return versions.withColumn(blob, address(F.col(text))).join(found, blob, "left").drop(blob).withColumn(into, F.coalesce(into, none))
 
 
 def spans(found: Column) -> Column:
@@ -131,13 +133,15 @@ def spans(found: Column) -> Column:
 def digest(rows: DataFrame) -> DataFrame:
     """The counts, the digest of the base findings and all spans of rows that have `found`."""
     base = F.filter("found", lambda f: f["place"] < len(BASE))
-    counts = [F.size(F.filter("found", lambda f, i=i: f["place"] == i)).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
+    places = F.transform("found", lambda f: f["place"])
+    counts = [F.size(F.filter(places, lambda p: p == i)).cast("bigint").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]  # noqa: B023
     return rows.select("doc_id", *counts, F.sha2(spans(base).cast("binary"), 256).alias("base_sha256"), spans(F.col("found")).alias("spans"))
 
 
 def redacted(versions: DataFrame, ledger: str, mark: str = "[SECRET]", rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
     """The rows with every found span replaced by `mark`; overlapping spans become one."""
-    rows = found_in(versions, ledger, rules, text)
+    found = unused(versions, "found")
+    rows = found_in(versions, ledger, rules, text, found)
     start = F.struct(F.lit(0).cast("bigint").alias("upto"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, f: Column) -> Column:
@@ -149,5 +153,5 @@ def redacted(versions: DataFrame, ledger: str, mark: str = "[SECRET]", rules: li
         rest = F.col(text).substr((acc["upto"] + 1).cast("int"), F.length(text))
         return F.array_join(F.concat(acc["out"], F.array(rest)), "")
 
-    masked = F.when(F.size("found") == 0, F.col(text)).otherwise(F.aggregate("found", start, step, close))
-    return rows.withColumn(text, masked).drop("found")
+    masked = F.when(F.size(found) == 0, F.col(text)).otherwise(F.aggregate(found, start, step, close))
+    return rows.withColumn(text, masked).drop(found)

@@ -114,7 +114,7 @@ def write_archives(records: DataFrame, folder: str, date: str = "2000-01-01T00:0
         fs, path = _open(folder)
         fs.create_dir(path, recursive=True)
         name, n = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.warc.gz", 0
-        with fs.open_output_stream(f"{path}/{name}") as out:
+        with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
             writer = Writer(out, date)
             batch = first
             while batch is not None:
