@@ -73,14 +73,8 @@ def statement_lines(m):
     )
 
 
-# Header of the company registry file.
-REGISTRY_HEADER = [
-    "CNPJ_CIA", "DT_REG", "DT_CONST", "DT_CANCEL", "MOTIVO_CANCEL", "SIT", "DT_INI_SIT", "CD_CVM", "SETOR_ATIV", "TP_MERC",
-    "CATEG_REG", "DT_INI_CATEG", "SIT_EMISSOR", "DT_INI_SIT_EM", "CONTROLE_ACION", "TP_ENDER", "LOGRADOURO", "COMPLEMENTO",
-    "BAIRRO", "MUNICIPIO", "UF", "PAIS", "CEP", "DDD_TEL", "TEL", "DDD_FAX", "FAX", "EMAIL", "TP_RESP", "RESP", "DT_INI_RESP",
-    "LOGR_RESP", "COMPL_RESP", "BAIRRO_RESP", "MUN_RESP", "UF_RESP", "PAIS_RESP", "CEP_RESP", "DDD_TEL_RESP", "TEL_RESP",
-    "DDD_FAX_RESP", "FAX_RESP", "EMAIL_RESP", "DENOM_SOCIAL", "DENOM_COMERC",
-]
+# The eight columns of the company registry that are read, among made-up ones up to the 45 of the file.
+REGISTRY_HEADER = [*REGISTRY.columns, *[f"OUTRA_{i:02d}" for i in range(45 - len(REGISTRY.columns))]]
 
 
 def registry_lines(m):
@@ -223,18 +217,17 @@ def src7(m):
 
 @query(
     "src8_idempotent_reload",
-    sql("macro", """SELECT CASE id_indicador WHEN 1 THEN 'SELIC' ELSE 'CAMBIO' END AS cd_indicador, 0 AS fl_processado, count(*) AS linhas
-        FROM macro WHERE id_indicador IN (1, 3) GROUP BY 1
-        UNION ALL SELECT 'CDI', 1, count(*) FROM macro WHERE id_indicador = 4"""),
+    sql("macro indicators", """SELECT cd_indicador, CASE id_indicador WHEN 4 THEN 1 ELSE 0 END AS fl_processado, count(*) AS linhas
+        FROM macro JOIN indicators USING (id_indicador) GROUP BY 1, 2"""),
 )
 def src8(m):
     store = Store(m.spark, shared_dir(m.spark, "store"))
-    sources = {n: series_source(code, str(n)) for n, code in [(1, "SELIC"), (3, "CAMBIO"), (4, "CDI")]}
+    sources = {n: series_source(code, str(n)) for n, code in [(1, "SELIC"), (2, "IPCA"), (3, "CAMBIO"), (4, "CDI"), (5, "OUTRO")]}
     paths = {n: delivered(m, series_lines(m.series(n)), source) for n, source in sources.items()}
     loading.load_source(store, sources[4], paths[4])
     pending = store.read("stg_indicadores_macro").filter("ds_fonte = 'BCB_CDI'")
     store.settle(pending.withColumn("fl_processado", F.lit(1)), "stg_indicadores_macro", "BCB_CDI")
-    for n in (1, 3, 1, 1):  # the repeats replace what is still pending of the same series only
+    for n in (1, 2, 3, 1, 5, 1):  # the repeats replace what is still pending of the same series only
         loading.load_source(store, sources[n], paths[n])
     return store.read("stg_indicadores_macro").groupBy("cd_indicador", "fl_processado").agg(F.count("*").alias("linhas"))
 
@@ -306,8 +299,11 @@ def src11(m):
 @query(
     "src12_file_checksum",
     """WITH l AS (SELECT o_orderstatus AS s, o_orderkey || ';' || o_custkey AS v FROM orders),
-       d AS (SELECT s, count(*) AS linhas, sum(CAST(CAST('0x' || substr(sha256(v), 1, 15) AS BIGINT) AS DECIMAL(38,0))) AS t FROM l GROUP BY s)
-       SELECT CASE s WHEN 'F' THEN 'dia2/a' ELSE 'dia2/b' END AS entrega, linhas, sha256(linhas || ':' || CAST(t AS VARCHAR)) AS ds_checksum, s = 'P' AS nova
+       h AS (SELECT s, sha256(v) AS x FROM l),
+       d AS (SELECT s, count(*) AS linhas, sum(CAST(CAST('0x' || substr(x, 1, 16) AS UBIGINT) AS DECIMAL(38,0))) || ':'
+             || sum(CAST(CAST('0x' || substr(x, 17, 16) AS UBIGINT) AS DECIMAL(38,0))) || ':' || sum(CAST(CAST('0x' || substr(x, 33, 16) AS UBIGINT) AS DECIMAL(38,0))) || ':'
+             || sum(CAST(CAST('0x' || substr(x, 49, 16) AS UBIGINT) AS DECIMAL(38,0))) AS t FROM h GROUP BY s)
+       SELECT CASE s WHEN 'F' THEN 'dia2/a' ELSE 'dia2/b' END AS entrega, linhas, sha256(linhas || ':' || t) AS ds_checksum, s = 'P' AS nova
        FROM d WHERE s IN ('F', 'P')""",
 )
 def src12(m):

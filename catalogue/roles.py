@@ -7,7 +7,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quotewell.functions.calendar import calendar_columns, date_key
-from quotewell.operators.joins import broadcast_if_small
 from quotewell.operators.returns import with_amplitude, with_daily_return
 
 
@@ -61,7 +60,7 @@ class Market:
 
     def quotes_of(self, shares: DataFrame) -> DataFrame:
         """Quotes with returns of some shares only: the others leave before anything is shuffled."""
-        ticks = self.ticks.join(broadcast_if_small(shares.select("id_acao")), "id_acao", "left_semi")
+        ticks = self.ticks.join(shares.select("id_acao"), "id_acao", "left_semi")
         return with_daily_return(self.daily_bars(ticks))
 
     @cached_property

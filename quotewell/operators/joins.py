@@ -4,20 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-SMALL_SIDE_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Hint a broadcast only where a bounded count proves the side small.
-
-    Meant for stored dimensions, where the probe is cheap. Beyond the limit no hint is given: the join
-    is then shuffled, and AQE splits its skewed partitions.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def star_join(fact: DataFrame, *dims: tuple[DataFrame, str], how: str = "inner") -> DataFrame:
     """Join dimensions to a fact one after the other, each on its key column.
 
@@ -62,9 +48,12 @@ def left_chain_counts(setor: DataFrame, empresa: DataFrame, acao: DataFrame, per
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, natural: str, surrogate: str, dim_natural: str | None = None) -> DataFrame:
-    """Add the surrogate key found by the natural key; NULL where unknown (reject those rows next)."""
+    """Add the surrogate key found by the natural key; NULL where unknown (reject those rows next).
+
+    Without a hint: Spark broadcasts the dimension where its measured bytes allow, else AQE splits a hot key.
+    """
     keys = dim.select(F.col(dim_natural or natural).alias(natural), surrogate)
-    return df.join(broadcast_if_small(keys), natural, "left")
+    return df.join(keys, natural, "left")
 
 
 def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -158,19 +147,22 @@ def insert_if_absent(
 def scd1_upsert(current: DataFrame, batch: DataFrame, key: str, attributes: list[str], now: Column) -> DataFrame:
     """New dimension snapshot: new keys added, changed ones overwritten, absent ones kept.
 
-    `dt_atualizacao` moves only where an attribute differs; `dt_criacao` is set once.
+    A NULL that arrives leaves the known value, and columns of the dimension that are not among `attributes` stay as
+    they are. `dt_atualizacao` moves only where an attribute changes; `dt_criacao` is set once.
     """
     old = current.select(F.struct(*current.columns).alias("o"), F.col(key).alias("_k"))
     new = batch.select(F.struct(key, *attributes).alias("n"), F.col(key).alias("_k"))
     rows = old.join(new, "_k", "full_outer")
     same = F.lit(True)
     for a in attributes:
-        same = same & F.col(f"o.{a}").eqNullSafe(F.col(f"n.{a}"))
+        same = same & (F.col(f"n.{a}").isNull() | F.col(f"o.{a}").eqNullSafe(F.col(f"n.{a}")))
+    others = [c for c in current.columns if c not in {key, *attributes, "dt_criacao", "dt_atualizacao"}]
     added, arrived = F.col("o").isNull(), F.col("n").isNotNull()
-    picked = [F.when(arrived, F.col(f"n.{a}")).otherwise(F.col(f"o.{a}")).alias(a) for a in attributes]
+    picked = [F.coalesce(f"n.{a}", f"o.{a}").alias(a) for a in attributes]
     return rows.select(
         F.col("_k").alias(key),
         *picked,
+        *[F.col(f"o.{c}").alias(c) for c in others],
         F.when(added, now).otherwise(F.col("o.dt_criacao")).alias("dt_criacao"),
         F.when(added | (arrived & ~same), now).otherwise(F.col("o.dt_atualizacao")).alias("dt_atualizacao"),
     )

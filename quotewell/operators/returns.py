@@ -36,6 +36,15 @@ def with_daily_return(
     return quotes.withColumn(out, change_on_previous(close, history(key, day)).try_cast("decimal(10,6)"))
 
 
+def returns_out_of_range(
+    quotes: DataFrame, close: str = "vl_fechamento", key: str = "id_acao", day: str = "id_data"
+) -> DataFrame:
+    """Rows whose return does not fit decimal(10,6), with it as `_retorno`: to be recorded, as their return is NULL."""
+    change = change_on_previous(close, history(key, day))
+    rows = quotes.withColumn("_retorno", change)
+    return rows.filter(F.col("_retorno").isNotNull() & F.col("_retorno").try_cast("decimal(10,6)").isNull())
+
+
 def with_amplitude(quotes: DataFrame) -> DataFrame:
     """Day's high minus low."""
     return quotes.withColumn("vl_amplitude", (F.col("vl_maximo") - F.col("vl_minimo")).cast("decimal(18,4)"))
@@ -54,21 +63,22 @@ def with_rolling_risk(
 
     NULL until the window holds `min_returns` returns (by default `window`). Window sums are differences of
     running sums, so the cost is linear in the history instead of rows x window. Returns enter as whole
-    millionths: their running sums and squares stay exact integers in a double.
+    millionths, their running sums as bigint and those of their squares as decimal(38,0): exact whatever came before.
     """
     need = window if min_returns is None else min_returns
     over = history(key, day)
     running = over.rowsBetween(W.unboundedPreceding, 0)
     r = F.col(returns).cast("double")
-    micro = F.round(r * 1_000_000)
-    sums = {"_n": F.when(r.isNotNull(), 1.0), "_s": micro, "_q": micro * micro}
+    micro = F.round(r * 1_000_000).cast("bigint")
+    square = (micro.cast("decimal(19,0)") * micro.cast("decimal(19,0)")).cast("decimal(28,0)")
+    sums = {"_n": F.when(r.isNotNull(), 1.0), "_s": micro, "_q": square}
     if rate:
         excess = r - F.col(rate).cast("double") / 100
         sums |= {"_xn": F.when(excess.isNotNull(), 1.0), "_x": excess}
-    out = quotes.withColumns({name: F.sum(F.coalesce(v, F.lit(0.0))).over(running) for name, v in sums.items()})
-    out = out.withColumns({name: F.col(name) - F.lag(name, window, 0.0).over(over) for name in sums})
+    out = quotes.withColumns({name: F.coalesce(F.sum(v).over(running), F.lit(0)) for name, v in sums.items()})
+    out = out.withColumns({name: F.col(name) - F.coalesce(F.lag(name, window).over(over), F.lit(0)) for name in sums})
 
-    n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
+    n, s, q = F.col("_n"), F.col("_s").cast("double"), F.col("_q").cast("double")
     variance = F.greatest(F.try_divide(q - F.try_divide(s * s, n), n - 1), F.lit(0.0))
     volatility = F.sqrt(variance) / 1_000_000 * sqrt(SESSIONS_PER_YEAR)
     out = out.withColumn("_vol", F.when((n >= need) & (n > 1), volatility))

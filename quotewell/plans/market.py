@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from quotewell.functions.calendar import between_days, date_of
 from quotewell.functions.labels import resilience_class
 from quotewell.operators.aggregates import TRADING_DAYS_PER_MONTH, exact_mean, monthly_mean
-from quotewell.operators.joins import broadcast_if_small, share_dimensions, tag_periods
+from quotewell.operators.joins import share_dimensions, tag_periods
 from quotewell.operators.returns import change_on_previous, cumulative_returns
 
 Day = date | str
@@ -42,7 +42,7 @@ def rate_against_sector(
     """
     shares = share_dimensions(acao, empresa, setor, [], keep=F.col("s.cd_setor") == sector)
     bars = quotes.filter(between_days(F.col("id_data"), first, last)).select("id_acao", "id_data", "vl_retorno_diario")
-    bars = bars.join(broadcast_if_small(shares), "id_acao")
+    bars = bars.join(shares, "id_acao")
     monthly = monthly_mean(bars, "vl_retorno_diario", "_return", factor=TRADING_DAYS_PER_MONTH)
 
     rates = series_values(macro.filter(between_days(F.col("id_data"), first, last)), indicators, indicator)
@@ -119,12 +119,13 @@ def register_return_function(spark: SparkSession, quotes_view: str, name: str =
     """SQL function `name(ticker, d1, d2)`: compound return over a view with cd_ticker, dt_data, vl_retorno_diario.
 
     It keeps the call form for single tickers. For whole tables use `cumulative_returns`, one pass for all.
-    The sum of logarithms stands in for the product, which SQL does not have.
+    The sum of logarithms stands in for the product, which SQL does not have; a day of total loss makes it -1.
     """
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(p_ticker STRING, p_first DATE, p_last DATE)
         RETURNS DOUBLE
-        RETURN SELECT exp(sum(ln(1 + CAST(q.vl_retorno_diario AS DOUBLE)))) - 1
+        RETURN SELECT CASE WHEN count_if(q.vl_retorno_diario = -1) > 0 THEN -1D
+                           ELSE exp(sum(ln(1 + CAST(q.vl_retorno_diario AS DOUBLE)))) - 1 END
                FROM {quotes_view} q
                WHERE q.cd_ticker = p_ticker AND q.dt_data BETWEEN p_first AND p_last
     """)
@@ -173,7 +174,7 @@ def exchange_sensitivity(quotes: DataFrame, exporters: DataFrame, exchange: Data
     r = F.col("vl_retorno_diario").cast("double")
     paired = (
         quotes.filter("vl_retorno_diario IS NOT NULL")
-        .join(broadcast_if_small(exporters.select("id_acao")), "id_acao", "left_semi")
+        .join(exporters.select("id_acao"), "id_acao", "left_semi")
         .join(fx, "id_data")
     )
     return paired.groupBy("id_acao").agg(

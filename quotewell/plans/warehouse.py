@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from quotewell.functions.calendar import build_calendar, date_key
@@ -10,7 +13,7 @@ from quotewell.operators.corporate import adjusted_prices
 from quotewell.operators.fundamentals import MEASURES, indicator_fact, latest_versions, statement_measures
 from quotewell.operators.joins import expand_monthly, insert_if_absent, keep_first, lookup_key, scd1_upsert
 from quotewell.operators.keys import with_dense_keys
-from quotewell.operators.returns import with_amplitude, with_daily_return
+from quotewell.operators.returns import returns_out_of_range, with_amplitude, with_daily_return
 from quotewell.operators.typed import PASSED, REJECTED, TYPINGS, apply_typing
 from quotewell.plans.market import series_values
 from quotewell.seeds import seed_names, seed_table
@@ -58,13 +61,14 @@ def settle_staging(store: Store, table: str, source: str) -> DataFrame:
 
 def log_unknown(store: Store, rows: DataFrame, key: str, natural: str, source: str) -> DataFrame:
     """Rows with a found key; the others go to the error log with their natural key."""
+    load = F.col("id_carga") if "id_carga" in rows.columns else F.lit(None).cast("bigint").alias("id_carga")
     lost = rows.filter(F.col(key).isNull()).select(
-        "id_carga",
+        load,
         F.lit("LOAD").alias("ds_etapa"),
         F.lit(source).alias("ds_fonte"),
         F.lit("lookup_key").alias("ds_procedure"),
         F.lit(f"unknown {natural}").alias("ds_erro"),
-        F.to_json(F.struct(natural, "dt_data")).alias("ds_dados"),
+        F.to_json(F.struct(*[c for c in (natural, "dt_data") if c in rows.columns])).alias("ds_dados"),
     )
     if not lost.isEmpty():
         log_errors(store, lost)
@@ -98,11 +102,13 @@ def load_shares(store: Store, tickers: DataFrame) -> None:
     companies = store.read("dim_empresa").select("cd_cvm", "id_empresa", "ds_nome_pregao")
     rows = (
         tickers.withColumn("cd_tipo", share_type(F.col("cd_ticker")))
-        .join(types, "cd_tipo")
-        .join(companies, "cd_cvm")
+        .join(types, "cd_tipo", "left")
+        .join(companies, "cd_cvm", "left")
         .withColumn("ds_acao", F.concat_ws(" ", "ds_nome_pregao", "cd_tipo"))
         .withColumn("fl_ativa", F.lit(True))
     )
+    rows = log_unknown(store, rows, "id_empresa", "cd_cvm", "TICKERS")
+    rows = log_unknown(store, rows, "id_tipo_acao", "cd_ticker", "TICKERS")
     attributes = ["id_empresa", "id_tipo_acao", "ds_acao", "nr_total_acoes", "fl_ativa"]
     current = store.read("dim_acao")
     merged = scd1_upsert(current, rows, "cd_ticker", attributes, F.current_timestamp())
@@ -114,15 +120,36 @@ def rewrite_dimension(store: Store, table: str, merged: DataFrame, natural: str,
 
     The snapshot is written beside the table first, because a table cannot be overwritten while it is read.
     """
+    merged = merged.drop(key)
     known = current.select(natural, key)
     highest = current.agg(F.max(key)).first()[0] or 0
     old = merged.join(known, natural)
     new = with_dense_keys(merged.join(known, natural, "left_anti"), [natural], key, highest + 1)
+    replace_table(store, old.unionByName(new), table)
+
+
+def replace_table(store: Store, rows: DataFrame, table: str) -> None:
+    """A new snapshot of a table that `rows` is computed from: written beside it first, then in its place."""
     beside = f"{store.path(table)}_next"
-    store.fit(old.unionByName(new), table).write.mode("overwrite").parquet(beside)
+    store.fit(rows, table).write.mode("overwrite").parquet(beside)
     store.overwrite(store.spark.read.parquet(beside), table)
 
 
+def extend_calendar(store: Store, days: DataFrame, day: str = "dt_data") -> None:
+    """Add the days that lie outside the stored calendar, up to the year ends around the rows'."""
+    low, high = days.agg(F.min(day), F.max(day)).first()
+    if low is None:
+        return
+    first, last = store.read("dim_data").agg(F.min("dt_data"), F.max("dt_data")).first()
+    if first is None:
+        missing = [(f"{low.year}-01-01", f"{high.year}-12-31")]
+    else:
+        missing = [(f"{low.year}-01-01", str(first - timedelta(days=1)))] if low < first else []
+        missing += [(str(last + timedelta(days=1)), f"{high.year}-12-31")] if high > last else []
+    for a, b in missing:
+        store.append(build_calendar(store.spark, a, b), "dim_data")
+
+
 def last_close(quotes: DataFrame) -> DataFrame:
     """Latest session of every share with its close: one row per share, folded map-side."""
     return quotes.groupBy("id_acao").agg(
@@ -139,6 +166,7 @@ def load_quotes(store: Store, rows: DataFrame) -> None:
     """
     rows = lookup_key(rows, store.read("dim_acao"), "cd_ticker", "id_acao")
     rows = log_unknown(store, rows, "id_acao", "cd_ticker", "KAGGLE_COTACAO").withColumn("id_data", date_key(F.col("dt_data")))
+    extend_calendar(store, rows)
     rows = rows.withColumn("nr_ano", F.year("dt_data"))
     fact = store.read("fato_cotacao")
     new = insert_if_absent(fact, rows, ["id_acao", "id_data"], [F.col("id_staging")], prune_on=["nr_ano", "id_data"])
@@ -151,11 +179,28 @@ def load_quotes(store: Store, rows: DataFrame) -> None:
         new.join(held_until, "id_acao", "left").agg(F.count_if(F.col("id_data") < F.col("_held")), F.min("nr_ano")).first()
     )
     if not late:
+        log_out_of_range(store, new, seeds)
         store.append(_with_returns(new, seeds), "fato_cotacao", ["id_acao", "id_data"])
         return
     from_then_on = F.col("nr_ano") >= first_year
     again = fact.filter(from_then_on).select(new.columns).unionByName(new)
-    store.replace_partitions(_with_returns(again, last_close(fact.filter(~from_then_on))), "fato_cotacao")
+    earlier = last_close(fact.filter(~from_then_on))
+    log_out_of_range(store, again, earlier)
+    store.replace_partitions(_with_returns(again, earlier), "fato_cotacao")
+
+
+def log_out_of_range(store: Store, quotes: DataFrame, seeds: DataFrame) -> None:
+    """Put returns that do not fit their column on record; the fact holds NULL for them."""
+    both = quotes.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
+    lost = returns_out_of_range(both).filter("_seed IS NULL").select(
+        F.lit("LOAD").alias("ds_etapa"),
+        F.lit("KAGGLE_COTACAO").alias("ds_fonte"),
+        F.lit("with_daily_return").alias("ds_procedure"),
+        F.lit("return out of range").alias("ds_erro"),
+        F.to_json(F.struct("id_acao", "id_data", F.col("_retorno").alias("retorno"))).alias("ds_dados"),
+    )
+    if not lost.isEmpty():
+        log_errors(store, lost)
 
 
 def _with_returns(quotes: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -171,6 +216,7 @@ def load_series(store: Store, rows: DataFrame, indicator: str) -> None:
         rows = expand_monthly(first.drop("_month"), "dt_data")
     rows = lookup_key(rows, store.read("dim_indicador_macro"), "cd_indicador", "id_indicador")
     rows = log_unknown(store, rows, "id_indicador", "cd_indicador", f"BCB_{indicator}").withColumn("id_data", date_key(F.col("dt_data")))
+    extend_calendar(store, rows)
     rows = rows.withColumn("nr_ano", F.year("dt_data"))
     held = store.read("fato_indicador_macro")
     new = insert_if_absent(held, rows, ["id_indicador", "id_data"], [F.col("id_staging")], prune_on=["nr_ano", "id_data"])
@@ -178,14 +224,31 @@ def load_series(store: Store, rows: DataFrame, indicator: str) -> None:
 
 
 def load_statements(store: Store, rows: DataFrame, family: str = "DFP") -> None:
-    """Latest version of every account, pivoted to one row per company, date and statement type."""
+    """Latest version of every account, pivoted to one row per company, date and statement type.
+
+    `rows` are all accounts on hand of the statements touched, so versions compare across deliveries. A statement that
+    is there already takes the new figures; measures that no row gives (another kind not delivered yet) stay.
+    """
     last = latest_versions(rows, ["cd_cvm", "dt_data", "cd_conta", "ds_tipo_dem"], "nr_versao", F.col("id_staging"))
     wide = statement_measures(last, ["cd_cvm", "dt_data"])
-    wide = lookup_key(wide, store.read("dim_empresa"), "cd_cvm", "id_empresa").filter("id_empresa IS NOT NULL")
+    wide = lookup_key(wide, store.read("dim_empresa"), "cd_cvm", "id_empresa")
+    wide = log_unknown(store, wide, "id_empresa", "cd_cvm", f"CVM_{family}")
     wide = wide.withColumn("id_data", date_key(F.col("dt_data"))).withColumn("ds_tipo_dem", statement_period(F.lit(family)))
     keys = ["id_empresa", "id_data", "ds_tipo_dem"]
-    new = insert_if_absent(store.read("fato_dem_financeira"), wide, keys, [F.col("id_data")], prune_on=["id_data"])
-    store.append(new.withColumn("dt_carga", F.current_timestamp()), "fato_dem_financeira")
+    held = store.read("fato_dem_financeira").alias("o")
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
+    both = held.join(wide.withColumn("dt_carga", F.current_timestamp()).alias("n"), same, "full_outer")
+    columns = [f.name for f in store.schema("fato_dem_financeira")]
+    newer = [F.coalesce(*[F.col(f"{side}.{c}") for side in ("n", "o") if side == "o" or c in wide.columns or c == "dt_carga"]).alias(c) for c in columns]
+    replace_table(store, both.select(*newer), "fato_dem_financeira")
+
+
+def statements_on_hand(store: Store, family: str) -> DataFrame:
+    """All accounts of a family that staging holds as passed, typed."""
+    staged = store.read("stg_dem_financeira").filter((F.col("fl_processado") == PASSED) & F.col("ds_fonte").startswith(f"CVM_{family}_"))
+    return apply_typing(staged.drop("ds_erro", "fl_processado"), TYPINGS["stg_dem_financeira"]).drop("ds_erro", "ds_dados", "fl_processado")
 
 
 def load_events(store: Store, rows: DataFrame, table: str, columns: list[str]) -> None:
@@ -255,12 +318,12 @@ def run_all(
         load_quotes(store, quotes)
     for source in sorted(s for s in loaded if s.startswith("BCB_")):
         load_series(store, take("stg_indicadores_macro", source), source.removeprefix("BCB_"))
-    statements = None
-    for source in sorted(s for s in loaded if s.startswith("CVM_DFP_")):
-        rows = take("stg_dem_financeira", source)
-        statements = rows if statements is None else statements.unionByName(rows)
-    if statements is not None:
-        load_statements(store, statements)
+    filed = sorted(s for s in loaded if s.startswith("CVM_"))
+    for family in ("DFP", "ITR"):
+        arrived = [take("stg_dem_financeira", s) for s in filed if s.startswith(f"CVM_{family}_")]
+        if arrived:
+            touched = reduce(DataFrame.unionByName, arrived).select("cd_cvm", "dt_data").distinct()
+            load_statements(store, statements_on_hand(store, family).join(touched, ["cd_cvm", "dt_data"], "left_semi"), family)
     dividends = take("stg_dividendos", "DIVIDENDOS")
     if dividends is not None:
         load_events(store, dividends, "hist_dividendos", ["vl_dividendo", "ds_tipo", "dt_ex", "dt_pagamento"])

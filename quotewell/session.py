@@ -18,7 +18,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
@@ -47,10 +46,13 @@ def build_session(
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path under the folder the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests on one machine) is a temporary folder taken.
+    Where that setting is absent a job on one machine takes a temporary folder; a cluster job fails, as its executors
+    would each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

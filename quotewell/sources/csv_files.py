@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quotewell.functions.parsing import is_filled, same_text
@@ -101,10 +103,11 @@ def series_source(indicator: str, code: str) -> CsvSource:
     )
 
 
-def statement_source(kind: str) -> CsvSource:
-    """Filed statements of one kind (DRE, BPA, BPP); only the current year's column set, company code not blank."""
+def statement_source(kind: str, family: str = "DFP") -> CsvSource:
+    """Filed statements of one kind (DRE, BPA, BPP), yearly (DFP) or quarterly (ITR); only the current period's column
+    set, company code not blank."""
     return CsvSource(
-        name=f"CVM_DFP_{kind}",
+        name=f"CVM_{family}_{kind}",
         table="stg_dem_financeira",
         encoding="ISO-8859-1",
         by_header=True,
@@ -142,23 +145,52 @@ def _options(source: CsvSource) -> dict[str, object]:
     return {"sep": source.sep, "encoding": source.encoding, "header": True, "quote": '"', "escape": '"'}
 
 
-def file_schema(spark: SparkSession, path: str, source: CsvSource) -> T.StructType:
-    """All-text schema: from the header line where columns go by name, else the declared order."""
-    names = spark.read.options(**_options(source)).csv(path).columns if source.by_header else list(source.columns)
-    fields = [T.StructField(n, T.StringType()) for n in names]
-    return T.StructType([*fields, T.StructField(BAD_LINE, T.StringType())])
+def header_groups(spark: SparkSession, path: str, source: CsvSource) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of each header line that the delivered files have.
+
+    One pass over the first part of every file finds its first line; the driver gets a row per different header.
+    """
+    lines = spark.read.option("encoding", source.encoding).text(path)
+    first = lines.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    heads = first.filter("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect()
+    names = lambda header: [c.strip().strip('"') for c in header.lstrip("\ufeff").rstrip("\r").split(source.sep)]
+    return sorted((names(r["header"]), r["files"]) for r in groups)
 
 
 def read_text_columns(spark: SparkSession, path: str, source: CsvSource) -> DataFrame:
     """Every line as text columns; a line with missing or extra fields also has its text in `_bad_line`.
 
-    Column pruning is off in the parser because a pruned parse cannot see that a line is too short.
+    Sources bound by name are read once per different header line, and the wanted columns united by name; a file
+    without one of them fails the load. Column pruning is off in the parser because a pruned parse cannot see that a
+    line is too short.
     """
-    return (
-        spark.read.schema(file_schema(spark, path, source))
-        .options(**_options(source), mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE, columnPruning=False)
-        .csv(path)
-    )
+
+    def read(names: list[str], where: str | list[str]) -> DataFrame:
+        fields = [T.StructField(n, T.StringType()) for n in [*names, BAD_LINE]]
+        options = {**_options(source), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "columnPruning": False}
+        return spark.read.schema(T.StructType(fields)).options(**options).csv(where)
+
+    groups = header_groups(spark, path, source) if source.by_header else []
+    if len(groups) < 2:
+        return read(groups[0][0] if groups else list(source.columns), path)
+    wanted = [*dict.fromkeys([*source.columns, *source.only]), BAD_LINE]
+    return reduce(DataFrame.unionByName, [read(names, files).select(*wanted, "_metadata") for names, files in groups])
+
+
+def placed(lines: DataFrame) -> DataFrame:
+    """The lines with `_place`, a number that ascends in file order: by file name, then by position in the file.
+
+    A line of a split has the split's first byte plus its number in the task, which is below the first byte of the
+    next split, as every line takes a byte at least. Eight TB a file and a million files fit.
+    """
+    ranks = {f: i for i, f in enumerate(sorted(lines.inputFiles()))}
+    spark = lines.sparkSession
+    names = spark.createDataFrame(pa.table({"_file": pa.array(ranks, pa.string()), "_rank": pa.array(ranks.values(), pa.int64())}))
+    task_line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = lines.withColumns({"_file": F.input_file_name(), "_at": F.col("_metadata.file_block_start") + task_line})
+    ranked = rows.join(names, "_file", "left")
+    return ranked.withColumn("_place", F.shiftleft(F.coalesce("_rank", F.lit(len(ranks))), 43) + F.col("_at")).drop("_file", "_rank", "_at")
 
 
 def staging_columns(lines: DataFrame, source: CsvSource) -> DataFrame:
@@ -169,6 +201,7 @@ def staging_columns(lines: DataFrame, source: CsvSource) -> DataFrame:
     rows = rows.select(
         *[F.col(a).alias(b) for a, b in source.columns.items()],
         *[F.lit(v).alias(c) for c, v in source.literals.items()],
+        *[c for c in lines.columns if c == "_place"],
     )
     return rows.filter(is_filled(F.col(source.not_blank))) if source.not_blank else rows
 

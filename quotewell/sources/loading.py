@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
 from datetime import date, datetime, timezone
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from quotewell.operators.joins import keep_first
 from quotewell.schemas import TABLES, struct
-from quotewell.sources.csv_files import FULL_LOAD, CsvSource, bad_lines, read_text_columns, staging_columns
+from quotewell.sources.csv_files import FULL_LOAD, CsvSource, bad_lines, placed, read_text_columns, staging_columns
 from quotewell.sources.store import Store, literal_row
 
 RUNNING, DONE, FAILED, PARTIAL = "EXECUTANDO", "SUCESSO", "ERRO", "PARCIAL"  # fixed values
@@ -21,10 +27,14 @@ _MARK = struct("cd_parametro string, vl_parametro string, dt_atualizacao timesta
 
 
 def as_batch(rows: DataFrame, now: Column | None = None) -> DataFrame:
-    """Staging rows as a new batch: row ids in file order, load time, state pending."""
+    """Staging rows as a new batch: row ids, load time, state pending.
+
+    Rows that carry `_place` (see `csv_files.placed`) are numbered in file order, others in no given order.
+    """
+    number = F.col("_place") if "_place" in rows.columns else F.monotonically_increasing_id()
     return rows.select(
-        F.monotonically_increasing_id().alias("id_staging"),
-        *rows.columns,
+        number.alias("id_staging"),
+        *[c for c in rows.columns if c != "_place"],
         (F.current_timestamp() if now is None else now).alias("dt_carga"),
         F.lit(0).alias("fl_processado"),
         F.lit(None).cast("string").alias("ds_erro"),
@@ -72,7 +82,7 @@ def _land(store: Store, source: CsvSource, path: str, checksum: str | None, load
 
     try:
         seen, kept = Observation(), Observation()
-        lines = read_text_columns(spark, path, source)
+        lines = placed(read_text_columns(spark, path, source))
         counted = lines.observe(seen, F.count("*").alias("read"), F.count("_bad_line").alias("bad"))
         rows = staging_columns(counted, source).observe(kept, F.count("*").alias("loaded"))
         store.replace_pending(as_batch(rows), source.table, source.name, load_id)
@@ -80,7 +90,7 @@ def _land(store: Store, source: CsvSource, path: str, checksum: str | None, load
         if bad:
             log_errors(
                 store,
-                bad_lines(lines),
+                bad_lines(read_text_columns(spark, path, source)),
                 id_carga=load_id,
                 ds_etapa="EXTRACT",
                 ds_fonte=source.name,
@@ -129,19 +139,42 @@ def full_extract(
 # ---- repeated files -------------------------------------------------------------------------------
 
 
-def file_checksums(spark: SparkSession, path: str, max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """SHA-256 of every file up to `max_bytes`; the content column is read only for those files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.filter(F.col("length") <= max_bytes).select(
-        F.col("path").alias("ds_arquivo"), F.sha2("content", 256).alias("ds_checksum")
-    )
+def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """SHA-256 of every file, whatever its size: Spark lists the files, a task streams each through the hash.
+
+    The one place of this part that runs Python in tasks: no built-in function hashes a file without holding it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([_sha256(n) for n in names])], ["ds_arquivo", "ds_checksum"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return files.mapInArrow(run, "ds_arquivo string, ds_checksum string")
+
+
+def _sha256(uri: str) -> str:
+    uri = re.sub(r"^file:/(?!/)", "file:///", uri)
+    fs, place = pafs.FileSystem.from_uri(quote(uri, safe="/:@%") if "%" not in uri else uri)
+    digest = hashlib.sha256()
+    with fs.open_input_stream(place, compression=None) as stream:
+        while part := stream.read(1 << 20):
+            digest.update(part)
+    return digest.hexdigest()
 
 
 def _digest(lines: DataFrame, *by: str) -> DataFrame:
-    """Line count and a digest of count and summed line hashes: free of line order, folded map-side."""
-    part = F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10).cast("decimal(20,0)")
-    sums = lines.groupBy(*by).agg(F.count("*").alias("linhas"), F.coalesce(F.sum(part), F.lit(0)).alias("_sum"))
-    text = F.concat_ws(":", F.col("linhas"), F.col("_sum").cast("string"))
+    """Line count and a digest of the count and the summed line hashes, folded map-side.
+
+    Two deliveries with the same lines in another order are the same. All 256 bits of each line's hash are summed,
+    in four numbers of 64 bits.
+    """
+    limbs = [F.conv(F.substring(F.sha2("value", 256), i, 16), 16, 10).cast("decimal(20,0)") for i in (1, 17, 33, 49)]
+    sums = lines.groupBy(*by).agg(
+        F.count("*").alias("linhas"), *[F.coalesce(F.sum(part), F.lit(0)).alias(f"_sum{i}") for i, part in enumerate(limbs)]
+    )
+    text = F.concat_ws(":", F.col("linhas"), *[F.col(f"_sum{i}").cast("string") for i in range(4)])
     return sums.select(*by, "linhas", F.sha2(text, 256).alias("ds_checksum"))
 
 
@@ -162,8 +195,8 @@ def is_repeated(store: Store, source: CsvSource, digest: str) -> bool:
 
 
 def unseen_files(checksums: DataFrame, control: DataFrame) -> DataFrame:
-    """Files whose checksum no successful load has recorded."""
-    known = control.filter(F.col("ds_status") == DONE).filter("ds_checksum IS NOT NULL").select("ds_checksum").distinct()
+    """Files whose checksum no load that ended has recorded."""
+    known = control.filter(F.col("ds_status").isin(DONE, PARTIAL)).filter("ds_checksum IS NOT NULL").select("ds_checksum").distinct()
     return checksums.join(known, "ds_checksum", "left_anti")
 
 

@@ -208,6 +208,8 @@ def test_stream_takes_every_file_once(spark, tmp_path):
     assert run() == first
     (folder / "2.csv").write_text("data;valor\n16/01/2024;0,9\n17/01/2025;0,3\nruim;1\n")
     assert run() == [*first, (date(2025, 1, 17), 0.3)]
+    lost = spark.read.parquet(str(tmp_path / "out_rejects")).select("ds_erro", "ds_dados")
+    assert [(r.ds_erro, "ruim" in r.ds_dados) for r in lost.collect()] == [("dt_referencia invalid", True)]
 
 
 def test_whole_run_twice(spark, store, files):
@@ -282,3 +284,63 @@ def test_bucketed_fact_needs_no_shuffle_for_windows(spark, bars):
     save_bucketed(bars({1: ["10", "11"], 2: ["5", "6"]}), "fato_cotacao_buckets", 4)
     plan = with_daily_return(spark.table("fato_cotacao_buckets"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_files_with_other_column_orders_are_read_by_name(spark, tmp_path):
+    source = csv_files.REGISTRY
+    names = list(source.columns)
+    for file, order in (("a", names), ("b", names[::-1])):
+        (tmp_path / f"{file}.csv").write_text(";".join(order) + "\n" + ";".join(f"{file}-{n}" for n in order) + "\n")
+    rows = csv_files.read_staging(spark, str(tmp_path), source).orderBy("cd_cvm").collect()
+    assert [(r.cd_cvm, r.ds_situacao) for r in rows] == [("a-CD_CVM", "a-SIT"), ("b-CD_CVM", "b-SIT")]
+
+
+def test_row_numbers_follow_file_names_not_sizes(spark, store, tmp_path):
+    (tmp_path / "a.csv").write_text("data;valor\n01/01/2024;1\n")
+    (tmp_path / "b.csv").write_text("data;valor\n" + "".join(f"01/01/2024;{i}\n" for i in range(2, 60)))
+    source = csv_files.series_source("SELIC", "11")
+    loading.load_source(store, source, str(tmp_path))
+    rows = store.read("stg_indicadores_macro").orderBy("id_staging").collect()
+    assert [r.vl_indicador for r in rows] == [str(i) for i in range(1, 60)]
+
+
+def test_checksum_of_any_file_size(spark, tmp_path):
+    import hashlib
+
+    body = b"x" * (65 << 20)  # above what was once a limit
+    (tmp_path / "big file.bin").write_bytes(body)
+    assert [r.ds_checksum for r in loading.file_checksums(spark, str(tmp_path)).collect()] == [hashlib.sha256(body).hexdigest()]
+
+
+def test_statements_of_other_kinds_and_versions_add_up(spark, store):
+    from quotewell.operators import typed
+    from quotewell.plans import warehouse
+
+    warehouse.create_tables(store, "2023-01-01", "2023-12-31")
+    store.append(spark.createDataFrame([(1, "9512", "P")], "id_empresa int, cd_cvm string, ds_razao_social string"), "dim_empresa")
+    schema = "id_staging bigint, cd_cvm string, ds_conta string, cd_conta string, vl_conta string, ds_tipo_dem string, dt_referencia string, nr_versao string"
+
+    def deliver(load_id, kind, account, value, version):
+        row = spark.createDataFrame([(load_id, "9512", "c", account, value, kind, "2023-12-31", version)], schema)
+        source = f"CVM_DFP_{kind}"
+        store.replace_pending(row.withColumns({"ds_fonte": F.lit(source), "dt_carga": F.current_timestamp()}), "stg_dem_financeira", source, load_id)
+        warehouse.settle_staging(store, "stg_dem_financeira", source)
+        warehouse.load_statements(store, warehouse.statements_on_hand(store, "DFP"))
+
+    deliver(1, "DRE", "3.11", "-50", "1")
+    deliver(2, "BPP", "2.03", "900", "1")
+    deliver(3, "DRE", "3.11", "-60", "2")
+    rows = store.read("fato_dem_financeira").select("vl_lucro_liquido", "vl_patrimonio_liq")
+    assert rows_of(rows) == [(-60.0, 900.0)]
+    assert typed is not None
+
+
+def test_unknown_tickers_and_late_days_are_not_lost(spark, store):
+    from quotewell.plans import warehouse
+
+    warehouse.create_tables(store, "2023-01-01", "2023-12-31")
+    tickers = spark.createDataFrame([("PETR4", "1", 10)], "cd_ticker string, cd_cvm string, nr_total_acoes bigint")
+    warehouse.load_shares(store, tickers)
+    assert [r.ds_erro for r in store.read("etl_log_erros").collect()] == ["unknown cd_cvm"]
+    warehouse.extend_calendar(store, spark.sql("SELECT DATE '2025-03-04' AS dt_data"))
+    assert store.read("dim_data").filter("nr_ano = 2025").count() == 365 and store.read("dim_data").count() == 365 + 366 + 365

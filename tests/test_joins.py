@@ -58,7 +58,7 @@ def test_scd1_twice_equals_once(spark):
     batch = spark.createDataFrame([(2, None), (3, "z")], "k int, a string")
     once = joins.scd1_upsert(start, batch, "k", ["a"], second)
     found = [(r.k, r.a, r.dt_criacao.month, r.dt_atualizacao.month) for r in once.orderBy("k").collect()]
-    assert found == [(1, "x", 1, 1), (2, None, 1, 2), (3, "z", 2, 2)]
+    assert found == [(1, "x", 1, 1), (2, "y", 1, 1), (3, "z", 2, 2)]
     third = F.lit("2024-03-01").cast("timestamp")
     assert rows_of(joins.scd1_upsert(once, batch, "k", ["a"], third), "k") == rows_of(once, "k")
 
@@ -76,11 +76,18 @@ def test_unknown_natural_key_gives_null(spark):
     assert rows_of(joins.lookup_key(df, dim, "t", "id"), "t") == [("A", 1), ("B", None)]
 
 
-def test_broadcast_only_below_the_limit(spark):
-    big, small = spark.range(50), spark.range(10)
-    joined = spark.range(1000).join(joins.broadcast_if_small(small, 20), "id")
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-    assert joins.broadcast_if_small(big, 20) is big
+def test_scd1_keeps_what_the_batch_does_not_know(spark):
+    first, second = [F.lit(d).cast("timestamp") for d in ("2024-01-01", "2024-02-01")]
+    current = spark.createDataFrame([(1, "x", 7)], "k int, a string, other int").withColumns({"dt_criacao": first, "dt_atualizacao": first})
+    merged = joins.scd1_upsert(current, spark.createDataFrame([(1, None)], "k int, a string"), "k", ["a"], second)
+    assert rows_of(merged.select("a", "other", F.to_date("dt_atualizacao").cast("string"))) == [("x", 7, "2024-01-01")]
+
+
+def test_key_lookup_plans_without_a_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    joins.lookup_key(spark.range(10).select(F.col("id").alias("t")), spark.range(3).select(F.col("id").alias("t"), "id"), "t", "id")
+    assert not tracker.getJobIdsForGroup("plan")
 
 
 def test_sector_without_company_counts_zero(spark):

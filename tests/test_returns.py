@@ -128,3 +128,14 @@ def test_trailing_dividends_against_brute_force(spark):
     found = rows_of(corporate.with_trailing_dividends(quotes, dividends), "id_data")
     for (_, _, total), d in zip(found, days):
         assert total == float(sum(a for _, p, a in paid if d - timedelta(days=364) <= p <= d))
+
+
+def test_rolling_risk_forgets_a_huge_return(spark):
+    rows = [(1, i, "9999.000000" if i == 0 else ("0.000100" if i % 2 else "-0.000100")) for i in range(40)]
+    df = spark.createDataFrame(rows, "id_acao int, id_data int, r string").select("id_acao", "id_data", F.col("r").cast("decimal(10,6)").alias("vl_retorno_diario"))
+    risk = returns.with_rolling_risk(df, window=10).filter("id_data > 12").select("vl_volatilidade").distinct()
+    assert rows_of(risk) == [(0.001673,)]
+
+
+def test_returns_out_of_range_are_found(bars):
+    assert rows_of(returns.returns_out_of_range(bars({1: ["0.0001", "2.0000", "2.0000"]})).select("id_data")) == [(20240103,)]
