@@ -119,6 +119,8 @@ def findings(spark: SparkSession, ledger: str, rules: list[Rule] = RULES) -> Dat
 
 def found_in(versions: DataFrame, ledger: str, rules: list[Rule] = RULES, text: str = "text", into: str = "found") -> DataFrame:
     """All rows and columns of `versions` and, as `into`, the findings of their text (empty where there are none)."""
+    if into in versions.columns:
+        raise ValueError(f"there is a column {into} already; name another by `into`")
     blob = unused(versions, "blob")
     found = findings(versions.sparkSession, ledger, rules).withColumnsRenamed({"blob": blob, "found": into})
     none = F.array().cast(found.schema[into].dataType)

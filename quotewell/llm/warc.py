@@ -82,7 +82,7 @@ class Writer:
         lines = [
             "WARC/1.1",
             "WARC-Type: " + ("response" if row["refers"] is None else "revisit"),
-            f"WARC-Record-ID: <urn:page:{_plain(row['at'])}:{row['copy']}>",
+            f"WARC-Record-ID: <urn:page:{_plain(row['at'])}:{row['sha1']}:{row['copy']}>",
             f"WARC-Date: {self.date}",
             f"WARC-Payload-Digest: sha1:{digest}",
             f"X-Payload-Length: {row['n_bytes']}",
@@ -90,7 +90,7 @@ class Writer:
         if row["url"] is not None:
             lines.append("WARC-Target-URI: " + _plain(row["url"]))
         if row["refers"] is not None:
-            lines += [f"WARC-Refers-To: <urn:page:{_plain(row['refers'])}:1>", f"WARC-Profile: {_PROFILE}"]
+            lines += [f"WARC-Refers-To: <urn:page:{_plain(row['refers'])}:{row['sha1']}:1>", f"WARC-Profile: {_PROFILE}"]
         lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {length}", "", ""]
         self.data("\r\n".join(lines).encode() + _HTTP)
 
@@ -205,7 +205,7 @@ def read_chunks(spark: SparkSession, folder: str, size: int = CHUNK, with_data:
     kinds = [pa.string()] * 4 + [pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
 
     def page_of(record: str | None) -> str | None:
-        return None if record is None else record.strip("<>").removeprefix("urn:page:").rpartition(":")[0]
+        return None if record is None else record.strip("<>").removeprefix("urn:page:").rsplit(":", 2)[0]
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
