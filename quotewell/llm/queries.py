@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotewell.llm import bytepairs, chat, fingerprints, language, ngram_join, packing, personal, quality, secret_scan, warc
+from quotewell.llm.oracles import ORACLES
 from quotewell.llm.shipping import ship
 from quotewell.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
 
 # The conversation that the chat query adds: its texts are full of what a template might take for its own.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -94,4 +95,5 @@ def op9_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(table(spark, sf_dir, "documents"))
+    rows = quality.judged(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -555,7 +555,7 @@ def test_repeats_of_random_texts():
 
 
 def test_op10_over_the_table(spark, texts):
-    for r in run(spark, "op10_quality"):
+    for r in quality.judged(spark.read.parquet(f"{SF}/documents.parquet")).collect():
         if len(texts[r.doc_id] or "") > 20_000:
             continue  # the plain version takes minutes there
         want = plain_quality(texts[r.doc_id])
@@ -578,3 +578,19 @@ def test_op10_odd_rows(spark, odd):
     rows = quality.judged(odd).collect()
     assert collections.Counter((r.doc_id, r.n_words) for r in rows) == collections.Counter((k, len(WORD.findall(t or ""))) for k, t in ODD)
     assert quality.judged(odd.limit(0)).count() == 0 and quality.kept_rows(odd).columns == odd.columns
+
+
+# ---- SQL ------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_against_its_sql(spark, name):
+    import duckdb
+
+    from tools.check_queries import TABLES, cells
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    mine, theirs = queries.QUERIES[name](spark, SF).toPandas(), con.execute(queries.ORACLES[name]).df()
+    assert sorted(mine.columns) == sorted(theirs.columns) and cells(mine) == cells(theirs)
