@@ -72,11 +72,11 @@ KEPT = """SELECT d.id_acao, d.dt_data, (CAST(b.vl_fechamento AS DOUBLE) - CAST(d
 DIVIDEND_FACTOR = f"""SELECT b.id_acao, b.id_data, coalesce(product(k.g), 1) AS g
     FROM bars b LEFT JOIN ({KEPT}) k ON k.id_acao = b.id_acao AND k.dt_data >= b.dt_data GROUP BY 1, 2"""
 
-ADJUSTED = f"""SELECT id_acao, id_data, dt_data, vl_retorno_diario, CAST(vl_fechamento AS DOUBLE) * g / f AS a, g / f AS h
+ADJUSTED = f"""SELECT id_acao, id_data, dt_data, vl_retorno_diario, CAST(vl_fechamento AS DOUBLE) * round(g / f, 12) AS a, round(g / f, 12) AS h
     FROM quotes JOIN ({SPLIT_FACTOR}) USING (id_acao, id_data) JOIN ({DIVIDEND_FACTOR}) USING (id_acao, id_data)"""
 
-ADJUSTED_RETURN = f"""SELECT id_acao, id_data, CAST(a AS DECIMAL(18,4)) AS vl_fechamento_aj,
-    CASE WHEN round(h / lag(h) OVER w, 9) = 1 THEN vl_retorno_diario ELSE CAST(a / lag(a) OVER w - 1 AS DECIMAL(10,6)) END AS vl_retorno_aj
+ADJUSTED_RETURN = f"""SELECT id_acao, id_data, CAST(CAST(a AS DECIMAL(28,10)) AS DECIMAL(18,4)) AS vl_fechamento_aj,
+    CASE WHEN h = lag(h) OVER w THEN vl_retorno_diario ELSE CAST(CAST(a / lag(a) OVER w - 1 AS DECIMAL(22,12)) AS DECIMAL(10,6)) END AS vl_retorno_aj
     FROM ({ADJUSTED}) WINDOW w AS (PARTITION BY id_acao ORDER BY id_data)"""
 
 

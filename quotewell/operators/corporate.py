@@ -8,6 +8,9 @@ from quotewell.functions.calendar import date_key, date_of
 from quotewell.operators.returns import history
 
 
+FACTOR_SCALE = 12
+
+
 def backward(key: str, day: str) -> WindowSpec:
     return W.partitionBy(key).orderBy(F.desc(day))
 
@@ -64,8 +67,9 @@ def with_adjustment(
     if splits is not None:
         after_here = latest_first.rangeBetween(W.unboundedPreceding, -1)
         factor = F.try_divide(factor, F.coalesce(F.product("_split").over(after_here), F.lit(1.0)))
+    # Products of doubles differ in their last digits by the order of events: the factor has a fixed scale.
     return (
-        rows.withColumn("fator_ajuste", factor)
+        rows.withColumn("fator_ajuste", F.round(factor, FACTOR_SCALE))
         .filter(F.col("_quote").isNotNull())
         .select(key, day, "_quote.*", "fator_ajuste")
     )
@@ -81,8 +85,9 @@ def adjusted_prices(
 ) -> DataFrame:
     """Adjusted close and the return on it, one row per share and session.
 
-    Between sessions with the same factor the adjusted return is the plain one, and as exact. Sessions stay in
-    the descending order of the adjustment, where the session before is the next row.
+    Between sessions with the same factor the adjusted return is the plain one, and as exact. Other figures are rounded
+    at the tenth or twelfth digit first, so one half way between two of the stored digits rounds up for sure. Sessions
+    stay in the descending order of the adjustment, where the session before is the next row.
     """
     over = backward(key, day)
     rows = with_adjustment(quotes.select(key, day, close), splits, dividends, close, key, day)
@@ -92,9 +97,9 @@ def adjusted_prices(
     return rows.select(
         key,
         day,
-        (F.col(close).cast("double") * F.col("fator_ajuste")).try_cast("decimal(18,4)").alias("vl_fechamento_aj"),
+        (F.col(close).cast("double") * F.col("fator_ajuste")).try_cast("decimal(28,10)").try_cast("decimal(18,4)").alias("vl_fechamento_aj"),
         F.when(step == 1, F.col("_plain").try_cast("decimal(10,6)"))
-        .otherwise(adjusted.try_cast("decimal(10,6)"))
+        .otherwise(adjusted.try_cast("decimal(22,12)").try_cast("decimal(10,6)"))
         .alias("vl_retorno_aj"),
     )
 
