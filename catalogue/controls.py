@@ -124,15 +124,22 @@ def an5(m):
 
 @query(
     "an6_validation_report",
-    sql("bars macro indicators calendar shares errorlog", """SELECT 'contagem' AS verificacao, t AS item, CAST(n AS VARCHAR) AS valor FROM (
+    sql("bars macro indicators calendar shares statements errorlog", """WITH busy AS (SELECT cd_ticker, count(*) AS n, min(dt_data) AS a, max(dt_data) AS b
+            FROM bars JOIN acao USING (id_acao) GROUP BY 1 ORDER BY n DESC, cd_ticker LIMIT 20)
+        SELECT 'contagem' AS verificacao, t AS item, CAST(n AS VARCHAR) AS valor FROM (
           SELECT 'dim_setor' AS t, count(*) AS n FROM setor UNION ALL SELECT 'dim_empresa', count(*) FROM empresa UNION ALL SELECT 'dim_acao', count(*) FROM acao
           UNION ALL SELECT 'dim_data', count(*) FROM calendar UNION ALL SELECT 'dim_indicador_macro', count(*) FROM indicators
-          UNION ALL SELECT 'fato_cotacao', count(*) FROM bars UNION ALL SELECT 'fato_indicador_macro', count(*) FROM macro)
+          UNION ALL SELECT 'fato_cotacao', count(*) FROM bars UNION ALL SELECT 'fato_indicador_macro', count(*) FROM macro
+          UNION ALL SELECT 'fato_dem_financeira', count(*) FROM statements)
         UNION ALL SELECT 'volume', 'fato_cotacao', CASE WHEN count(*) >= 200000 THEN 'OK' ELSE '*** ABAIXO DO MINIMO — verificar carga do CSV de cotacoes ***' END FROM bars
-        UNION ALL SELECT 'pregoes', cd_ticker, CAST(n AS VARCHAR) FROM (SELECT cd_ticker, count(*) AS n FROM bars JOIN acao USING (id_acao) GROUP BY 1 ORDER BY n DESC, cd_ticker LIMIT 20)
+        UNION ALL SELECT 'pregoes', cd_ticker, CAST(n AS VARCHAR) FROM busy UNION ALL SELECT 'primeiro pregao', cd_ticker, CAST(a AS VARCHAR) FROM busy
+        UNION ALL SELECT 'ultimo pregao', cd_ticker, CAST(b AS VARCHAR) FROM busy
         UNION ALL SELECT 'indicadores', cd_indicador, CAST(count(*) AS VARCHAR) FROM macro JOIN indicators USING (id_indicador) GROUP BY cd_indicador
+        UNION ALL SELECT 'primeiro valor', cd_indicador, CAST(min(dt_data) AS VARCHAR) FROM macro JOIN indicators USING (id_indicador) GROUP BY cd_indicador
+        UNION ALL SELECT 'ultimo valor', cd_indicador, CAST(max(dt_data) AS VARCHAR) FROM macro JOIN indicators USING (id_indicador) GROUP BY cd_indicador
+        UNION ALL SELECT 'acoes por setor', cd_setor, CAST(count(DISTINCT id_acao) AS VARCHAR) FROM setor LEFT JOIN empresa USING (id_setor) LEFT JOIN acao USING (id_empresa) GROUP BY cd_setor
         UNION ALL SELECT 'setores', cd_setor, CAST(count(id_data) AS VARCHAR) FROM setor LEFT JOIN empresa USING (id_setor) LEFT JOIN acao USING (id_empresa) LEFT JOIN bars USING (id_acao) GROUP BY cd_setor
-        UNION ALL SELECT 'erros', ds_erro, CAST(count(*) AS VARCHAR) FROM errorlog GROUP BY ds_erro"""),
+        UNION ALL (SELECT 'erros', CAST(id_erro AS VARCHAR), ds_erro FROM errorlog ORDER BY dt_erro DESC, id_erro DESC LIMIT 20)"""),
 )
 def an6(m):
     return validation.report(
@@ -144,6 +151,7 @@ def an6(m):
             "dim_indicador_macro": m.indicators,
             "fato_cotacao": m.bars,
             "fato_indicador_macro": m.macro,
+            "fato_dem_financeira": m.statements,
             "etl_log_erros": m.errors,
         }
     )

@@ -54,11 +54,15 @@ def latest_errors(log: DataFrame, n: int = 20) -> DataFrame:
 
 
 def report(tables: dict[str, DataFrame], minimum: int = 200_000) -> DataFrame:
-    """All checks as (verificacao, item, valor).
+    """All checks as (verificacao, item, valor): counts, volume, the busiest tickers and all indicators with their first
+    and last days, shares and quotes per sector, and the latest 20 errors. A missing table is an error, not a gap.
 
     Quotes and series are each read once: their counts per share and per indicator are checkpointed, and every
     check starts from those small tables.
     """
+    absent = [name for name in [*COUNTED, "etl_log_erros"] if name not in tables]
+    if absent:
+        raise ValueError(f"not given: {', '.join(absent)}")
     with_checkpoint_dir(tables["fato_cotacao"].sparkSession)
     per_share = sessions_per_share(tables["fato_cotacao"]).checkpoint()
     indicators = indicator_coverage(tables["fato_indicador_macro"], tables["dim_indicador_macro"]).checkpoint()
@@ -72,17 +76,23 @@ def report(tables: dict[str, DataFrame], minimum: int = 200_000) -> DataFrame:
         return df.select(F.lit(check).alias("verificacao"), F.col(item).alias("item"), F.col(value).cast("string").alias("valor"))
 
     quotes = total(per_share, "pregoes", "fato_cotacao")
-    others = {name: tables[name] for name in COUNTED if name in tables and name not in ("fato_cotacao", "fato_indicador_macro")}
+    others = {name: tables[name] for name in COUNTED if name not in ("fato_cotacao", "fato_indicador_macro")}
+    busiest = busiest_tickers(per_share, acao)
+    sectors = sector_distribution(per_share, acao, empresa, setor)
+    errors = latest_errors(tables["etl_log_erros"]).withColumn("erro", F.col("id_erro").cast("string"))
     parts = [
         lines(table_counts(others), "contagem", "tabela", "registros"),
         lines(quotes, "contagem", "tabela", "registros"),
         lines(total(indicators, "total_registros", "fato_indicador_macro"), "contagem", "tabela", "registros"),
         lines(quotes.withColumn("status", volume_status(F.col("registros"), minimum)), "volume", "tabela", "status"),
-        lines(busiest_tickers(per_share, acao), "pregoes", "cd_ticker", "pregoes"),
+        lines(busiest, "pregoes", "cd_ticker", "pregoes"),
+        lines(busiest, "primeiro pregao", "cd_ticker", "primeiro_pregao"),
+        lines(busiest, "ultimo pregao", "cd_ticker", "ultimo_pregao"),
         lines(indicators, "indicadores", "cd_indicador", "total_registros"),
-        lines(sector_distribution(per_share, acao, empresa, setor), "setores", "cd_setor", "total_cotacoes"),
+        lines(indicators, "primeiro valor", "cd_indicador", "data_mais_antiga"),
+        lines(indicators, "ultimo valor", "cd_indicador", "data_mais_recente"),
+        lines(sectors, "setores", "cd_setor", "total_cotacoes"),
+        lines(sectors, "acoes por setor", "cd_setor", "total_acoes"),
+        lines(errors, "erros", "erro", "ds_erro"),
     ]
-    if "etl_log_erros" in tables:
-        errors = tables["etl_log_erros"].groupBy("ds_erro").agg(F.count("*").alias("n"))
-        parts.append(lines(errors, "erros", "ds_erro", "n"))
     return reduce(DataFrame.unionByName, parts)

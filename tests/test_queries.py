@@ -8,10 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalogue.base import QUERIES
 from tools.check_queries import TABLES, cells
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"an10_full_run", "src7_full_extract", "src8_idempotent_reload"}  # their jobs are tested in test_files.py
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
@@ -24,7 +24,7 @@ def sql_tables():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql_tables, name):
     mine = entry.queries()[name](spark, SF).toPandas()
     theirs = sql_tables.execute(entry.oracle_sql()[name]).df()
