@@ -18,7 +18,7 @@ from quotewell.operators.typed import PASSED, REJECTED, TYPINGS, apply_typing
 from quotewell.plans.market import series_values
 from quotewell.seeds import seed_names, seed_table
 from quotewell.sources.csv_files import CsvSource
-from quotewell.sources.loading import full_extract, log_errors
+from quotewell.sources.loading import advance_mark, after_mark, full_extract, log_errors, read_mark
 from quotewell.sources.store import Store
 
 MONTHLY_SERIES = ["IPCA"]  # fixed value: filed once a month, repeated for every day of it
@@ -118,21 +118,14 @@ def load_shares(store: Store, tickers: DataFrame) -> None:
 def rewrite_dimension(store: Store, table: str, merged: DataFrame, natural: str, key: str, current: DataFrame) -> None:
     """Write a dimension's new snapshot. Present rows keep their key, new ones are numbered after the highest.
 
-    The snapshot is written beside the table first, because a table cannot be overwritten while it is read.
+    The snapshot is written beside the table first: a table cannot be overwritten while it is read.
     """
     merged = merged.drop(key)
     known = current.select(natural, key)
     highest = current.agg(F.max(key)).first()[0] or 0
     old = merged.join(known, natural)
     new = with_dense_keys(merged.join(known, natural, "left_anti"), [natural], key, highest + 1)
-    replace_table(store, old.unionByName(new), table)
-
-
-def replace_table(store: Store, rows: DataFrame, table: str) -> None:
-    """A new snapshot of a table that `rows` is computed from: written beside it first, then in its place."""
-    beside = f"{store.path(table)}_next"
-    store.fit(rows, table).write.mode("overwrite").parquet(beside)
-    store.overwrite(store.spark.read.parquet(beside), table)
+    store.swap(old.unionByName(new), table)
 
 
 def extend_calendar(store: Store, days: DataFrame, day: str = "dt_data") -> None:
@@ -242,7 +235,7 @@ def load_statements(store: Store, rows: DataFrame, family: str = "DFP") -> None:
     both = held.join(wide.withColumn("dt_carga", F.current_timestamp()).alias("n"), same, "full_outer")
     columns = [f.name for f in store.schema("fato_dem_financeira")]
     newer = [F.coalesce(*[F.col(f"{side}.{c}") for side in ("n", "o") if side == "o" or c in wide.columns or c == "dt_carga"]).alias(c) for c in columns]
-    replace_table(store, both.select(*newer), "fato_dem_financeira")
+    store.swap(both.select(*newer), "fato_dem_financeira")
 
 
 def statements_on_hand(store: Store, family: str) -> DataFrame:
@@ -297,9 +290,12 @@ def run_all(
     first: str = "2000-01-01",
     last: str = "2024-12-31",
     window: int = 252,
+    incremental: bool = False,
 ) -> DataFrame:
     """Extract, transform and load everything delivered; returns the extract report.
 
+    Each run moves the marks ULTIMA_CARGA_*. With `incremental` only quotes and values later than their mark are
+    loaded from files that hold the whole history; corrections of earlier days then wait for a full run.
     Dimensions load before facts, facts before the derived tables. Statements of all kinds load together.
     """
     create_tables(store, first, last)
@@ -309,21 +305,29 @@ def run_all(
     def take(table: str, source: str) -> DataFrame | None:
         return settle_staging(store, table, source) if source in loaded else None
 
+    def later(rows: DataFrame, mark: str) -> DataFrame:
+        return after_mark(rows, "dt_data", read_mark(store, mark)) if incremental else rows
+
     registry = take("stg_cadastro_empresa", "CVM_CADASTRO")
     if registry is not None:
         load_companies(store, registry, sectors)
     load_shares(store, tickers)
     quotes = take("stg_cotacao", "KAGGLE_COTACAO")
     if quotes is not None:
-        load_quotes(store, quotes)
-    for source in sorted(s for s in loaded if s.startswith("BCB_")):
-        load_series(store, take("stg_indicadores_macro", source), source.removeprefix("BCB_"))
+        load_quotes(store, later(quotes, "ULTIMA_CARGA_COTACAO"))
+        advance_mark(store, "ULTIMA_CARGA_COTACAO", quotes, "dt_data")
+    series = {s: take("stg_indicadores_macro", s) for s in sorted(s for s in loaded if s.startswith("BCB_"))}
+    for source, rows in series.items():
+        load_series(store, later(rows, "ULTIMA_CARGA_MACRO"), source.removeprefix("BCB_"))
+    if series:
+        advance_mark(store, "ULTIMA_CARGA_MACRO", reduce(DataFrame.unionByName, [r.select("dt_data") for r in series.values()]), "dt_data")
     filed = sorted(s for s in loaded if s.startswith("CVM_"))
     for family in ("DFP", "ITR"):
         arrived = [take("stg_dem_financeira", s) for s in filed if s.startswith(f"CVM_{family}_")]
         if arrived:
             touched = reduce(DataFrame.unionByName, arrived).select("cd_cvm", "dt_data").distinct()
             load_statements(store, statements_on_hand(store, family).join(touched, ["cd_cvm", "dt_data"], "left_semi"), family)
+            advance_mark(store, "ULTIMA_CARGA_DFP", touched, "dt_data")
     dividends = take("stg_dividendos", "DIVIDENDOS")
     if dividends is not None:
         load_events(store, dividends, "hist_dividendos", ["vl_dividendo", "ds_tipo", "dt_ex", "dt_pagamento"])

@@ -214,13 +214,19 @@ def read_mark(store: Store, parameter: str) -> str:
 
 
 def advance_mark(store: Store, parameter: str, loaded: DataFrame, day: str) -> str | None:
-    """Move the mark to the latest business date loaded. The table is append-only; readers take the last value."""
+    """Move the mark forward to the latest business date loaded. One row a parameter stays; a mark never moves back."""
     newest = loaded.agg(F.max(day)).first()[0]
     if newest is None:
         return None
-    row = literal_row(store.spark, _MARK, [parameter, str(newest), _utc_now()])
-    store.append(row.coalesce(1), "parametros_sistema")
-    return str(newest)
+    mark = max(str(newest), read_mark(store, parameter))
+    now = literal_row(store.spark, _MARK, [parameter, mark, _utc_now()])
+    rows = latest_parameters(store)
+    here = F.col("cd_parametro") == parameter
+    if rows.filter(here).isEmpty():
+        rows = rows.unionByName(now, allowMissingColumns=True)
+    moved = rows.withColumns({"vl_parametro": F.when(here, mark).otherwise(F.col("vl_parametro")), "dt_atualizacao": F.when(here, F.lit(_utc_now())).otherwise(F.col("dt_atualizacao"))})
+    store.swap(moved.coalesce(1), "parametros_sistema")
+    return mark
 
 
 def latest_parameters(store: Store) -> DataFrame:

@@ -131,6 +131,12 @@ class Store:
         writer = rows.write.mode("overwrite")
         (writer.partitionBy(*layout) if layout else writer).parquet(self.path(table))
 
+    def swap(self, df: DataFrame, table: str) -> None:
+        """A new snapshot of a table that the frame is computed from: written beside it first, then in its place."""
+        beside = f"{self.path(table)}_next"
+        self.fit(df, table).write.mode("overwrite").parquet(beside)
+        self.overwrite(self.spark.read.parquet(beside), table)
+
 
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "id_acao", day: str = "id_data") -> None:
     """Save a fact as a catalog table bucketed by share and sorted by day.

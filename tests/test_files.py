@@ -229,6 +229,8 @@ def test_whole_run_twice(spark, store, files):
         assert store.read("hist_dividendos").count() == 1 and store.read("hist_desdobramento").count() == 1
         adjusted = store.read("hist_preco_ajustado").select("id_data", "vl_fechamento_aj")
         assert rows_of(adjusted, "id_data") == [(20240115, 16.05), (20240116, 32.4)]
+        assert loading.read_mark(store, "ULTIMA_CARGA_COTACAO") == "2024-01-16"
+        assert store.read("parametros_sistema").groupBy("cd_parametro").count().filter("count > 1").count() == 0
         assert store.read("fato_dem_financeira").count() == 1 and store.read("fato_indicadores").count() == 1
     company = store.read("dim_empresa").filter("cd_cvm = '9512'").first()
     assert company["id_setor"] == 7 and company["fl_ativa"]
