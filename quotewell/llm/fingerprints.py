@@ -140,9 +140,9 @@ def against_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", frac
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "within_edited", "within_next"]
 
     def digest(rows: list[tuple]) -> pa.RecordBatch | None:
-        """All rows but the last, each against the row behind it if that is in the same bucket."""
+        """All rows but the last and guests, each against the row behind it if that is in the same bucket."""
         own = sketch_texts([r[3] for r in rows], fraction, k)
-        at = [i for i in range(len(rows) - 1) if rows[i][0] == rows[i + 1][0]]
+        at = [i for i in range(len(rows) - 1) if rows[i][0] == rows[i + 1][0] and not rows[i][1]]
         edited = []
         for i in at:
             third = len(rows[i][3]) // 3
