@@ -13,7 +13,10 @@ repeated rows are packed each on its own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import re
+import string
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -33,45 +36,83 @@ BLOCK = 4096
 ISLANDS = 2
 FULL = 0.98
 CACHE = 300_000
-# White space other than single blanks and newlines between visible characters: such a text is encoded as it is.
-_ODD = re.compile(r"[^\S \n]|\0| [ \n]|\n[ \n]")
+# White space in places where a text cannot be taken apart at every blank and newline.
+_ODD = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\0")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_ODD_WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# How byte-level files write a byte: printable Latin-1 characters as they are, the others from U+0100 on, in order.
+_KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_AS_TEXT = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_KEPT)))}
 
 
 class Encoder:
     """Ids of texts by a tokenizer file, as little-endian unsigned 32-bit bytes.
 
-    The split pattern of the file never joins what a blank or newline between two visible characters parts, so such
-    texts are encoded word by word, each word once as long as the cache has room; all others as they are.
+    For byte-level BPE with the usual split pattern: it never joins what a single blank or newline between two visible
+    characters parts, so such texts go word by word, each word split and merged by the library once as long as the
+    caches have room. Other texts, words with an added token, and other kinds of tokenizer take the library's encode.
     """
 
     def __init__(self, model: str):
-        self.model, self.words = Tokenizer.from_str(model), {"": b""}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        self.model, self.words, self.pieces = Tokenizer.from_str(model), {"": b""}, {"": b""}
+        told = json.loads(model)
+        split, merges = told.get("pre_tokenizer") or {}, told["model"]
+        self.added = [t["content"] for t in told.get("added_tokens") or []]
+        self.by_word = (
+            split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not told.get("normalizer")
+            and merges.get("type") == "BPE" and not any(merges.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
+            and not told.get("truncation") and not told.get("padding") and not any(" " in t or "\n" in t for t in self.added)
+        )
+        self.split, self.merge = getattr(self.model.pre_tokenizer, "pre_tokenize_str", None), self.model.model.tokenize
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def word(self, word: str) -> bytes:
+        for added in self.added:
+            if added in word:
+                return self.whole(word)
+        start = word.rstrip(string.punctuation)
+        letters = start[1:] if start[:1] == " " else start
+        if letters.isascii() and letters.isalpha():  # a word, then marks
+            pieces = ["\u0120" + letters if letters is not start else start]
+        elif letters.isalpha() and max(letters) < "\u0250":  # the same with other Latin letters
+            pieces = [start.encode().decode("latin-1").translate(_AS_TEXT)]
+        else:
+            start, pieces = word, [piece for piece, _ in self.split(word)]
+        if len(start) < len(word):
+            pieces.append(word[len(start) :])
+        out = []
+        for piece in pieces:
+            ids = self.pieces.get(piece)
+            if ids is None:
+                merged = [t.id for t in self.merge(piece)]
+                ids = struct.pack(f"<{len(merged)}I", *merged)
+                if len(self.pieces) < CACHE:
+                    self.pieces[piece] = ids
+            out.append(ids)
+        out = b"".join(out)
+        if len(self.words) < CACHE:
+            self.words[word] = out
+        return out
+
+    def taken_apart(self, text: str) -> bool:
+        if not self.by_word or any(o in text for o in _ODD):
+            return False
+        return not any(c in text for c in _SEPARATORS) if text.isascii() else not _ODD_WIDE.search(text)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else t.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") for t in texts]
-        known = self.words
-        missing = list({w for ws in split if ws for w in ws if w not in known})
-        fresh = dict(zip(missing, self._encode(missing))) if missing else {}
-        if len(known) + len(fresh) <= CACHE:
-            known.update(fresh)
-            fresh = known
-        elif len(known) < CACHE:
-            known.update(list(fresh.items())[: CACHE - len(known)])
-        if fresh is not known:
-            fresh = _Both(fresh, known)
-        return [b"".join(map(fresh.__getitem__, ws)) if ws else b"".join(self._encode(parts(t))) for t, ws in zip(texts, split)]
-
-
-class _Both(dict):
-    def __init__(self, fresh: dict, known: dict):
-        super().__init__(fresh)
-        self.known = known
-
-    def __missing__(self, word: str) -> bytes:
-        return self.known[word]
+        out = []
+        for text in texts:
+            if self.taken_apart(text):
+                words = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+                ids = list(map(self.words.get, words))
+                if None in ids:
+                    ids = [self.word(w) if i is None else i for i, w in zip(ids, words)]
+            else:
+                ids = map(self.whole, parts(text))
+            out.append(b"".join(ids))
+        return out
 
 
 @lru_cache(maxsize=2)
