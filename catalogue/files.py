@@ -430,11 +430,12 @@ def st1(m):
         ('fato_indicador_macro', (SELECT count(*) FROM selic)),
         ('hist_dividendos', (SELECT count(*) FROM (SELECT DISTINCT id_acao, dt_data, vl_dividendo FROM dividends) WHERE id_acao % 9 <> 4 AND id_acao % 11 <> 0)),
         ('hist_preco_ajustado', (SELECT count(*) FROM bars WHERE id_acao % 9 <> 4 AND id_acao % 11 <> 0)),
-        ('etl_log_erros', (SELECT count(*) FROM bars WHERE id_acao % 9 = 4 OR id_acao % 11 = 0) + (SELECT count(*) FROM dividends WHERE id_acao % 9 = 4 OR id_acao % 11 = 0))
+        ('etl_log_erros', (SELECT count(*) FROM bars WHERE id_acao % 9 = 4 OR id_acao % 11 = 0) + (SELECT count(*) FROM dividends WHERE id_acao % 9 = 4 OR id_acao % 11 = 0)
+          + (SELECT count(*) FROM supplier WHERE s_suppkey % 9 <> 4 AND s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 0)))
         ) AS t(tabela, linhas)"""),
 )
 def an10(m):
-    """Quotes, one series, the registry and dividends from files to the star schema; unknown tickers are logged."""
+    """Quotes, one series, the registry and dividends from files to the star schema; unknown tickers and companies are logged."""
     store = Store(m.spark, shared_dir(m.spark, "store"))
     paths = {
         "COTACOES": delivered(m, quote_lines(m), QUOTES),
