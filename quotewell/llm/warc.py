@@ -143,7 +143,7 @@ class _Members:
 
     def more(self) -> bool:
         rest = self.unzip.unconsumed_tail
-        if not rest and self.unzip.eof:
+        if self.unzip.eof:  # what follows a member is unused; the tail may repeat it
             rest, self.unzip = self.unzip.unused_data, zlib.decompressobj(31)
         if not rest:
             rest = self.raw.read(self.part)
