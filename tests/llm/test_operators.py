@@ -574,6 +574,21 @@ def test_op10_keeps_clean_texts_and_drops_copied_blocks(spark):
     assert [r.doc_id for r in quality.kept_rows(df).collect()] == [1]
 
 
+def test_op10_rules_on_passages_each_reject_alone(spark):
+    fresh = iter(f"w{i}" for i in range(10**6))
+    take = lambda n: " ".join(next(fresh) for _ in range(n))
+    pieces = [take(100) for _ in range(10)]  # 2,000 of 5,000 words in passages of 2 percent each
+    many = " ".join([take(3000), *pieces, *pieces[::-1]])
+    one = take(360)  # 6 percent of a long text, twice: 12 percent covered
+    notice = take(13)  # a line such as clean documents repeat, 40 percent of the text
+    short = " ".join(f"{take(20)} {notice}" for _ in range(30))
+    rows = [(1, many), (2, f"{take(2640)} {one} {take(2640)} {one}"), (3, short), (4, f"{take(2500)} {pieces[0]} {take(2300)} {pieces[0]}")]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert not any(r.base_failed for r in got.values()) and {k: r.kept for k, r in got.items()} == {1: False, 2: False, 3: True, 4: True}
+    assert got[1].n_passage_words == 2000 and got[1].longest_repeat == 100  # within the limit on the longest
+    assert got[2].n_passage_words <= 0.2 * got[2].n_words and got[3].n_covered_words > 0.2 * got[3].n_words
+
+
 def test_op10_odd_rows(spark, odd):
     rows = quality.judged(odd).collect()
     assert collections.Counter((r.doc_id, r.n_words) for r in rows) == collections.Counter((k, len(WORD.findall(t or ""))) for k, t in ODD)
