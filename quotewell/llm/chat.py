@@ -12,10 +12,11 @@ texts `\\`, `#` and `<` (in roles `:` too) are preceded by `\\`, so no text can
 reading drops one `\\` before each of them.
 
 A node is named by the running XOR of two 64-bit hashes of (place, role, text) and its depth, made in a window that
-streams over a conversation. The depth-first order comes from sorting distinct conversations by their node names over
-all machines: a node belongs to the first conversation that has it, and the stream is ordered by (that conversation,
-depth). Conversations with the same turns are one path; a root shared by a third of all conversations is counted
-before it is shuffled.
+streams over a conversation. Paths stay rows: running sums along them give the size of each node's subtree, a sort of
+siblings over all machines what lies between a node and its parent, and running sums along the paths the offsets.
+Siblings go by descending size, so a node that does not follow its parent has at most half of its parent's size, and no
+path has more intervals than the stream's length has bits, however long the conversation. Conversations with the same
+turns are one path; a root shared by a third of all conversations is counted before it is shuffled.
 
 Defined results: turns are ordered by (turn, role, text); a null turn comes first; null role and text are empty; rows
 without a conversation id form one conversation; repeated rows are turns of their own; other columns are ignored.
@@ -82,39 +83,68 @@ def prefix_tree(conversations: DataFrame, **columns: str) -> tuple[DataFrame, Da
     turns_of(conversations, **columns).write.parquet(path := shared_dir(spark, "turns"))
     turns = spark.read.parquet(path)
     paths = turns.select("conv", "depth", "hi", "lo")
-    node = F.struct("depth", "hi", "lo")
-    whole = paths.groupBy("conv").agg(F.array_sort(F.collect_list(node)).alias("path"))
-    distinct = whole.groupBy(F.element_at("path", -1).alias("leaf")).agg(F.first("path").alias("path")).select("path")
-    ranked = distinct.repartitionByRange("path").sortWithinPartitions("path").withColumn("rank", F.monotonically_increasing_id())
-    ranked.write.parquet(place := shared_dir(spark, "ranks"))
-    steps = spark.read.parquet(place).select("rank", F.explode("path").alias("p")).select("rank", "p.depth", "p.hi", "p.lo")
-    owner = steps.groupBy(*_NODE).agg(F.min("rank").alias("rank"))
-    texts = turns.groupBy(*_NODE).agg(*[F.first(c).alias(c) for c in ("up_hi", "up_lo", "formatted", "n", "position", "before_text", "assistant")])
-    nodes = owner.join(texts, _NODE).withColumn("part", F.shiftright("rank", 33))
-    # Offsets: a running sum in each sorted part, and the parts before it (one row a part).
-    bases = nodes.groupBy("part").agg(F.sum("n").alias("total"))
-    bases = bases.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
-    inside = Window.partitionBy("part").orderBy("rank", "depth").rowsBetween(Window.unboundedPreceding, 0)
-    nodes = nodes.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(bases), "part")
-    nodes = nodes.withColumn("offset", F.col("base") + F.col("upto") - F.col("n")).drop("part", "upto", "base")
-    nodes.write.parquet(where := shared_dir(spark, "nodes"))
-    nodes = spark.read.parquet(where)
-    # Intervals: along each path, a new one wherever a node does not follow its parent in the stream.
-    along = Window.partitionBy("path_rank").orderBy("depth")
+    # One conversation of each set of equal ones stands for their path.
+    leaves = paths.groupBy("conv").agg(F.max(F.struct("depth", "hi", "lo")).alias("leaf"))
+    chosen = leaves.groupBy("leaf").agg(F.min(F.struct("conv")).alias("first")).select("first.conv")
+    chosen.withColumn("path", F.monotonically_increasing_id()).write.parquet(place := shared_dir(spark, "chosen"))
+    chosen = spark.read.parquet(place).withColumnRenamed("conv", "of")
+    steps = paths.join(chosen, F.col("conv").eqNullSafe(F.col("of"))).select("path", *_NODE)
+    steps.write.parquet(place := shared_dir(spark, "steps"))
+    steps = spark.read.parquet(place)
+    # A node's size is the length of its subtree: along a path, the nodes it owns from there on; added up over the paths.
+    owner = steps.groupBy(*_NODE).agg(F.min("path").alias("owner"))
+    shape = turns.groupBy(*_NODE).agg(*[F.first(c).alias(c) for c in ("up_hi", "up_lo", "n", "position")]).join(owner, _NODE)
+    down = Window.partitionBy("path").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, 0)
+    tails = steps.join(shape, _NODE).withColumn("tail", F.sum(F.when(F.col("path") == F.col("owner"), F.col("n")).otherwise(0)).over(down))
+    sizes = tails.groupBy(*_NODE).agg(F.sum("tail").alias("size"), *[F.first(c).alias(c) for c in ("up_hi", "up_lo", "n", "position", "owner")])
+    _before(sizes).write.parquet(place := shared_dir(spark, "places"))
+    places = spark.read.parquet(place)
+    # Along a path offsets and intervals follow: a new interval wherever a node does not come right behind its parent.
+    along = Window.partitionBy("path").orderBy("depth")
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
-    walk = steps.withColumnRenamed("rank", "path_rank").join(nodes.select(*_NODE, "rank", "offset", "n"), _NODE)
+    walk = steps.join(places, _NODE).withColumn("offset", F.col("position") + F.sum("before").over(upto))
     walk = walk.withColumn("last_end", F.lag(F.col("offset") + F.col("n")).over(along))
-    jump = F.col("last_end").isNull() | (F.col("last_end") != F.col("offset"))
+    jump = F.col("last_end").isNull() | (F.col("before") > 0)
     walk = walk.withColumns({"starts": F.collect_list(F.when(jump, F.col("offset"))).over(upto), "ends": F.collect_list(F.when(jump, F.col("last_end"))).over(upto)})
     ends = F.concat("ends", F.array(F.col("offset") + F.col("n")))
-    attend = walk.filter("path_rank = rank").select(*_NODE, F.arrays_zip(F.col("starts").alias("start"), ends.alias("end")).alias("attend"))
-    tree = nodes.join(attend, _NODE).withColumns(
+    nodes = walk.filter("path = owner").select(*_NODE, "offset", F.arrays_zip(F.col("starts").alias("start"), ends.alias("end")).alias("attend"))
+    texts = turns.groupBy(*_NODE).agg(*[F.first(c).alias(c) for c in ("up_hi", "up_lo", "formatted", "n", "position", "before_text", "assistant")])
+    tree = texts.join(nodes, _NODE).withColumns(
         {
             "loss_start": F.when(F.col("assistant"), F.col("offset") + F.col("before_text")),
             "loss_end": F.when(F.col("assistant"), F.col("offset") + F.col("n") - len(CLOSE)),
         }
     )
-    return tree.drop("rank", "assistant", "before_text"), paths
+    return tree.drop("assistant", "before_text"), paths
+
+
+def _before(sizes: DataFrame) -> DataFrame:
+    """(node, n, position, owner, before): how much of the stream lies between a node's parent and the node.
+
+    That is the size of its earlier siblings. Siblings are sorted by descending size over all machines; a running sum
+    in each sorted part and one row a part give sums over parts, so siblings of one parent may lie in many parts.
+    """
+    spark = sizes.sparkSession
+    order = ["depth", "up_hi", "up_lo", F.desc("size"), "hi", "lo"]
+    ranked = sizes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("rank", F.monotonically_increasing_id())
+    ranked.write.parquet(place := shared_dir(spark, "ranks"))
+    inside = Window.partitionBy("part").orderBy("rank")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    ranked = spark.read.parquet(place).withColumns({"part": F.shiftright("rank", 33), "up": F.struct("depth", "up_hi", "up_lo")})
+    ranked = ranked.withColumns({"start": F.sum("size").over(upto) - F.col("size"), "last_up": F.lag("up").over(inside)})
+    opens = F.col("last_up").isNotNull() & ~F.col("last_up").eqNullSafe(F.col("up"))
+    ranked = ranked.withColumn("opened", F.last(F.when(opens, F.col("start")), ignorenulls=True).over(upto))
+    parts = ranked.groupBy("part").agg(
+        F.sum("size").alias("total"), F.min_by("up", "rank").alias("head"), F.max_by("up", "rank").alias("tail"), F.max("opened").alias("latest")
+    )
+    by_part = Window.orderBy("part")
+    parts = parts.withColumns({"base": F.sum("total").over(by_part) - F.col("total"), "last_tail": F.lag("tail").over(by_part)})
+    at_head = F.when(~F.col("last_tail").eqNullSafe(F.col("head")), F.col("base"))
+    parts = parts.withColumns({"at_head": at_head, "latest": F.coalesce(F.col("base") + F.col("latest"), at_head)})
+    earlier = F.last("latest", ignorenulls=True).over(by_part.rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("part", "base", F.coalesce("at_head", earlier).alias("carried"))
+    before = F.col("base") + F.col("start") - F.coalesce(F.col("base") + F.col("opened"), F.col("carried"))
+    return ranked.join(F.broadcast(parts), "part").select(*_NODE, "n", "position", "owner", before.alias("before"))
 
 
 def read_back(tree: DataFrame, paths: DataFrame, conv: str = "conv_id") -> DataFrame:

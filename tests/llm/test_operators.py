@@ -387,6 +387,34 @@ def test_tree_emits_each_prefix_once_and_attention_is_the_path(spark):
     assert chat.read_back(*chat.prefix_tree(df.limit(0))).count() == 0
 
 
+def test_intervals_stay_few_on_a_long_path_with_many_branches(spark):
+    spine = [(None, i, "user", f"t{i}") for i in range(200)]  # one conversation without an id; others leave it at each turn
+    rows = spine + [(c, i, "user", f"t{i}" if i < c else "leaf") for c in range(0, 200, 3) for i in range(c + 1)]
+    tree, paths = chat.prefix_tree(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    nodes = tree.select("depth", "hi", "lo", "offset", "n", "position", "attend").collect()
+    total = sum(r.n for r in nodes)
+    assert len(nodes) == 200 + 67 and sorted(x for r in nodes for x in range(r.offset, r.offset + r.n)) == list(range(total))
+    assert all(sum(a.end - a.start for a in r.attend) == r.position + r.n and r.attend[-1].end == r.offset + r.n for r in nodes)
+    assert max(len(r.attend) for r in nodes) <= total.bit_length()
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(tree, paths).collect()}
+    assert got == plain_chat(rows)
+
+
+def test_siblings_of_one_parent_over_many_parts(spark):
+    rng = random.Random(3)
+    sizes = [(1 + i % 3, i, -i, None if i % 3 == 0 else i % 2, None if i % 3 == 0 else 5, rng.randrange(1, 99)) for i in range(600)]
+    df = spark.createDataFrame(sizes, "depth int, hi bigint, lo bigint, up_hi bigint, up_lo bigint, size bigint")
+    df = df.withColumns({"n": F.lit(1), "position": F.lit(0), "owner": F.lit(0)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = {r.hi: r.before for r in chat._before(df).collect()}
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want, sums = {}, collections.Counter()
+    for depth, hi, lo, a, b, size in sorted(sizes, key=lambda r: (-r[5], r[1], r[2])):
+        want[hi] = sums[depth, a, b]
+        sums[depth, a, b] += size
+    assert got == want
+
+
 # ---- 7 secrets ------------------------------------------------------------------------------------
 
 ASSIGN = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
