@@ -4,8 +4,8 @@ Subwords are the 2-, 3- and 4-byte windows of the UTF-8 text with A-Z lower-case
 not a letter made a blank. Each is hashed to one of 2^18 embedding rows; a text is the mean of its rows, a linear
 layer and softmax give the languages. Training is plain stochastic gradient descent in numpy on the driver over at
 most `per_language` distinct texts a language, each brought there as counts of its hashed subwords (at most 2^18
-pairs however long the text), so what the driver holds is bounded by languages x per_language x 2^18. A fifth of the
-sample is kept back: it sets the temperature of the softmax and the two limits of rejection, on the calibrated
+pairs however long the text), so what the driver holds is bounded by languages x per_language x 2^18. A fifth of each
+language's sample is kept back: it sets the temperature of the softmax and the two limits of rejection, on the calibrated
 probability and on the share of subwords ever seen in training.
 
 As embedding and output layers are both linear, prediction gathers one row of logits per subword. The model's size
@@ -123,11 +123,12 @@ def calibrated(means: np.ndarray, temperature: float) -> tuple[np.ndarray, np.nd
 def sample(docs: DataFrame, label: str, text: str, per_language: int) -> DataFrame:
     """(label, mark, buckets, counts) of at most `per_language` distinct texts a label, chosen by a hash of the text.
 
-    The hash threshold is set from the label's row count before any text moves; a rank by the hash then bounds what
-    is left. Copies of a text fall in or out together and count once.
+    The hash threshold is set from the label's count of distinct text hashes before any text moves, so copies do not
+    thin the sample; a rank by the hash then bounds what is left. Copies of a text fall in or out together and count once.
     """
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text"))
-    sizes = rows.groupBy("label").count().withColumn("share", F.least(F.lit(1.0), 4.0 * per_language / F.col("count"))).collect()
+    marks = rows.select("label", F.xxhash64("text").alias("mark")).distinct()
+    sizes = marks.groupBy("label").count().withColumn("share", F.least(F.lit(1.0), 4.0 * per_language / F.col("count"))).collect()
     if not sizes:
         return rows.select("label", F.lit(0).alias("mark"), F.array().cast("array<int>").alias("buckets"), F.array().cast("array<int>").alias("counts"))
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["label"], r["share"])])
@@ -153,7 +154,10 @@ def sample(docs: DataFrame, label: str, text: str, per_language: int) -> DataFra
 
 
 def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 12, rate: float = 4.0, seed: int = 7) -> Model:
-    """Stochastic gradient descent, one text a step; every fifth text is kept back to calibrate."""
+    """Stochastic gradient descent, one text a step; every fifth text of a language is kept back to calibrate.
+
+    A language of fewer than five texts learns from all of them, and these also calibrate.
+    """
     languages = sorted({b[0] for b in bags})
     if not languages:
         return Model([], np.empty((0, BUCKETS), np.float32), np.zeros(BUCKETS, bool))
@@ -162,8 +166,11 @@ def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 16, epochs: i
     out = rng.uniform(-1 / dim, 1 / dim, (dim, len(languages))).astype(np.float32)
     index = {name: i for i, name in enumerate(languages)}
     bags = [(index[a], b, (c / max(c.sum(), 1)).astype(np.float32)) for a, b, c in bags]
-    held = [b for i, b in enumerate(bags) if i % 5 == 4] or bags
-    learned = [b for i, b in enumerate(bags) if i % 5 != 4]
+    held, learned = [], []
+    for language in range(len(languages)):
+        own = [b for b in bags if b[0] == language]
+        learned += [b for i, b in enumerate(own) if i % 5 != 4]
+        held += own[4::5] or own
     seen = np.zeros(BUCKETS, bool)
     for _, b, _ in learned:
         seen[b] = True

@@ -155,6 +155,30 @@ def test_op2_odd_rows_and_rejection(spark, odd):
     assert {r.lang_pred for r in language.predicted(odd, empty).collect()} == {"und"}
 
 
+def test_copies_do_not_thin_the_sample(spark):
+    few = [(label, f"{label} text {i}") for label in ("aa", "bb") for i in range(5) for _ in range(400)]
+    many = [("cc", f"cc text {i % 3000}") for i in range(9000)]
+    docs = spark.createDataFrame(few + many, "lang string, text string")
+    got = collections.Counter(r.label for r in language.sample(docs, "lang", "text", 20).collect())
+    assert got == {"aa": 5, "bb": 5, "cc": 20}
+
+
+def test_every_language_is_learned_and_held_back():
+    def bag(label, i):
+        return label, np.array([1000 * (ord(label) - 96) + j for j in range(i, i + 30)]), np.ones(30)
+
+    # Read in the order of their marks, each fifth text is the only one of `b` or one of the two of `c`.
+    bags = [bag("a", i) for i in range(20)]
+    bags.insert(4, bag("b", 0))
+    bags.insert(9, bag("c", 0))
+    bags.insert(14, bag("c", 1))
+    model = language.fit(bags)
+    assert model.seen[2000] and model.seen[3000] and model.seen[3030]
+    means = np.array([model.logits[:, b].mean(1) for _, b, _ in bags])
+    best, _ = language.calibrated(means, model.temperature)
+    assert [model.languages[i] for i in best] == [b[0] for b in bags]
+
+
 def test_subwords_of_a_long_text_are_counted_over_slices(monkeypatch):
     data = np.frombuffer(b"the cat sat on the mat " * 50, np.uint8)
     whole = language.counted(data)
