@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotewell.llm import bytepairs, chat, fingerprints, language, ngram_join, packing, personal, quality, secret_scan, warc
+from quotewell.llm import bytepairs, chat, fingerprints, language, merkle, ngram_join, packing, personal, quality, secret_scan, similarity, warc, whitening
 from quotewell.llm.oracles import ORACLES
 from quotewell.llm.shipping import ship
 from quotewell.session import shared_dir
@@ -97,3 +97,18 @@ def op9_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.near_duplicates(table(spark, sf_dir, "documents"), k=2, num=80, den=100)
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
