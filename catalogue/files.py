@@ -150,7 +150,7 @@ def src2(m):
        CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS vl_conta, 'DRE' AS ds_tipo_dem, 1 AS nr_versao FROM events WHERE event_id % 2 = 0 AND event_id % 50 <> 0""",
 )
 def src3(m):
-    return typed_file(m, statement_lines(m), statement_source("DRE"), typed.STATEMENTS)
+    return typed_file(m, statement_lines(m), statement_source("DRE"), typed.STATEMENTS).drop("ds_escala")
 
 
 @query(

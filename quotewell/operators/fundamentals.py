@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quotewell.functions import valuation
@@ -29,6 +31,35 @@ def latest_versions(rows: DataFrame, keys: list[str], version: str, *tie_break:
     return keep_first(rows, keys, [F.desc(version), *tie_break])
 
 
+ACCOUNT = ["id_empresa", "id_data", "ds_tipo_dem", "ds_quadro", "cd_conta"]
+
+
+def known_versions(history: DataFrame, day: date | str | None = None, account: list[str] | None = None) -> DataFrame:
+    """Each account as known on a day: the highest version delivered by then, whatever the order of delivery.
+
+    `history` has a row per account and version with `dt_entrega`; without `day` all deliveries count. Folded map-side.
+    """
+    rows = history if day is None else history.filter(F.col("dt_entrega") <= F.lit(str(day)).cast("date"))
+    by = [c for c in [*(account or ACCOUNT), "nr_ano"] if c in history.columns]
+    rest = [c for c in history.columns if c not in by]
+    last = rows.groupBy(*by).agg(F.max_by(F.struct(*rest), "nr_versao").alias("_last"))
+    return last.select(*by, "_last.*")
+
+
+def validity(history: DataFrame, account: list[str] | None = None) -> DataFrame:
+    """The versions that were ever the known one, with `dt_inicio` and `dt_fim`: known from the one day to before the other.
+
+    A version delivered after a higher one was never known, and of several on one day only the highest; `dt_fim` is NULL
+    while a version stands. A group of the window has as many rows as an account has versions.
+    """
+    by = [c for c in (account or ACCOUNT) if c in history.columns]
+    order = W.partitionBy(*by).orderBy("dt_entrega", F.desc("nr_versao"))
+    before = F.max("nr_versao").over(order.rowsBetween(W.unboundedPreceding, -1))
+    known = history.withColumn("_before", before).filter("_before IS NULL OR nr_versao > _before").drop("_before")
+    until = F.lead("dt_entrega").over(W.partitionBy(*by).orderBy("dt_entrega"))
+    return known.withColumns({"dt_inicio": F.col("dt_entrega"), "dt_fim": until})
+
+
 def statement_measures(
     rows: DataFrame, by: list[str], accounts: dict[str, list[str]] | None = None, code: str = "cd_conta", value: str = "vl_conta"
 ) -> DataFrame:

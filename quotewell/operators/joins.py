@@ -95,14 +95,16 @@ def tag_periods(df: DataFrame, periods: DataFrame, day: str, period_columns: lis
 
 
 def asof_latest(
-    left: DataFrame, right: DataFrame, by: str, day: str, values: list[str], lag_days: int = 0
+    left: DataFrame, right: DataFrame, by: str, day: str, values: list[str], lag_days: int = 0, latest_by: str | None = None
 ) -> DataFrame:
     """For each left row the values of the latest right row of the same key on or before its date.
 
     `left` is unique per (by, day) and `right` is made so here. Both are unioned and carried forward in
-    one window, so no pair of rows is built. `lag_days` delays the availability of the right rows.
+    one window, so no pair of rows is built. `lag_days` delays the availability of the right rows. Of several right rows of a
+    day the one highest in `latest_by` counts (a version, a load time); without it, or where that ties, the largest values.
     """
-    latest = right.groupBy(by, day).agg(F.max(F.struct(*values)).alias("_value"))
+    order = [F.col(latest_by).alias("_order")] if latest_by else []
+    latest = right.groupBy(by, day).agg(F.max(F.struct(*order, *values)).alias("_value"))
     latest = latest.select(by, F.date_add(day, lag_days).alias(day), "_value")
     left_columns = [c for c in left.columns if c not in (by, day)]
     rows = left.select(by, day, F.struct(*left_columns).alias("_left")).unionByName(latest, allowMissingColumns=True)
@@ -130,23 +132,32 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def insert_if_absent(
-    target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column], prune_on: list[str] | None = None
+    target: DataFrame,
+    batch: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    prune_on: list[str] | None = None,
+    bounds: dict[str, tuple] | None = None,
 ) -> DataFrame:
     """The batch rows to append: first of each key, and only keys the target does not hold.
 
     With `prune_on` (year, date or date-key columns both have) the target is read only between the batch's
-    own bounds, which prunes its partitions and row groups.
+    own bounds, which prunes its partitions and row groups; `bounds` gives them where they are known already.
     """
-    if prune_on:
-        bounds = batch.agg(*[f(c) for c in prune_on for f in (F.min, F.max)]).first()
-        for c, low, high in zip(prune_on, bounds[::2], bounds[1::2]):
-            target = target.filter(F.col(c).between(low, high)) if low is not None else target.limit(0)
+    if bounds is None and prune_on:
+        found = batch.agg(*[f(c) for c in prune_on for f in (F.min, F.max)]).first()
+        bounds = dict(zip(prune_on, zip(found[::2], found[1::2])))
+    for c, (low, high) in (bounds or {}).items():
+        target = target.filter(F.col(c).between(low, high)) if low is not None else target.limit(0)
     return keep_first(batch, keys, order).join(target.select(*keys), keys, "left_anti")
 
 
-def scd1_upsert(current: DataFrame, batch: DataFrame, key: str, attributes: list[str], now: Column) -> DataFrame:
+def scd1_upsert(current: DataFrame, batch: DataFrame, key: str, attributes: list[str], now: Column, images: bool = False) -> DataFrame:
     """New dimension snapshot: new keys added, changed ones overwritten, absent ones kept.
 
+    With `images` the one join also gives what an audit trail needs: `_antes`, the old row as JSON, and `_operacao`, INSERT
+    or UPDATE where something changes, else NULL.
+
     A NULL that arrives leaves the known value, and columns of the dimension that are not among `attributes` stay as
     they are. `dt_atualizacao` moves only where an attribute changes; `dt_criacao` is set once.
     """
@@ -159,7 +170,15 @@ def scd1_upsert(current: DataFrame, batch: DataFrame, key: str, attributes: list
     others = [c for c in current.columns if c not in {key, *attributes, "dt_criacao", "dt_atualizacao"}]
     added, arrived = F.col("o").isNull(), F.col("n").isNotNull()
     picked = [F.coalesce(f"n.{a}", f"o.{a}").alias(a) for a in attributes]
+    audit = []
+    if images:
+        before = F.to_json("o", {"ignoreNullFields": "false"})
+        audit = [
+            F.when(~added, before).alias("_antes"),
+            F.when(added, "INSERT").when(arrived & ~same, "UPDATE").alias("_operacao"),
+        ]
     return rows.select(
+        *audit,
         F.col("_k").alias(key),
         *picked,
         *[F.col(f"o.{c}").alias(c) for c in others],

@@ -53,6 +53,33 @@ def table_rules(table: str) -> dict[str, Column]:
     )
 
 
+def stored_rules(table: str, columns: list[str]) -> dict[str, Column]:
+    """The table's row rules that these columns can answer, and that its decimals fit: what a row must pass to be stored."""
+    here = set(columns)
+    decimals = {f.name: f.dataType.simpleString() for f in schemas.TABLES[table] if f.name in here and f.dataType.typeName() == "decimal"}
+    conditions = {n: c for n, c in schemas.ROW_CHECKS.get(table, {}).items() if all(w in here for w in schemas.columns_in(c))}
+    return (
+        required_rules([c for c in schemas.REQUIRED.get(table, []) if c in here])
+        | row_rules(conditions)
+        | allowed_rules({c: v for c, v in schemas.ALLOWED_VALUES.get(table, {}).items() if c in here})
+        | width_rules({c: n for c, n in schemas.TEXT_WIDTHS.get(table, {}).items() if c in here})
+        | precision_rules(decimals)
+    )
+
+
+def broken_mask(rules: dict[str, Column]) -> Column:
+    """The rules a row breaks as bits of one number, the first rule lowest; 0 for a good row. A rule that is NULL passes."""
+    if len(rules) > 63:
+        raise ValueError("a mask holds 63 rules")
+    bits = [F.when(~rule, F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(rules.values())]
+    return reduce(Column.__add__, bits, F.lit(0)).cast("bigint")
+
+
+def broken_names(mask: Column, rules: dict[str, Column]) -> Column:
+    """The names of the rules in a mask, joined by semicolons."""
+    return F.concat_ws("; ", *[F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, name) for i, name in enumerate(rules)])
+
+
 def check_table(df: DataFrame, table: str) -> DataFrame:
     return count_violations(df, table_rules(table))
 

@@ -69,6 +69,7 @@ STATEMENTS = Typing(
         Field("vl_conta", "vl_conta", partial(parse_decimal, precision=20, scale=2)),
         Field("ds_tipo_dem", "ds_tipo_dem"),
         Field("nr_versao", "nr_versao", lambda c: parse_integer(c).cast("int"), required=False),
+        Field("ds_escala", "ds_escala", required=False),
     ]
 )
 

@@ -36,7 +36,7 @@ _DDL = {
     "stg_indicadores_macro": "id_staging bigint, cd_indicador string, cd_serie_bcb string, dt_referencia string, "
     f"vl_indicador string, {BATCH}",
     "stg_dem_financeira": "id_staging bigint, cd_cvm string, ds_conta string, cd_conta string, vl_conta string, "
-    f"dt_referencia string, ds_tipo_dem string, nr_versao string, {BATCH}",
+    f"dt_referencia string, ds_tipo_dem string, nr_versao string, ds_escala string, {BATCH}",
     "stg_cadastro_empresa": "id_staging bigint, cd_cvm string, nr_cnpj string, ds_razao_social string, "
     "ds_nome_pregao string, ds_setor_atividade string, ds_situacao string, dt_registro string, "
     f"dt_constituicao string, ds_segmento string, {BATCH}",
@@ -80,7 +80,16 @@ _DDL = {
     "ds_descricao string, dt_carga timestamp",
     "hist_preco_ajustado": "id_preco_aj bigint, id_acao int, id_data int, vl_fechamento_aj decimal(18,4), "
     "vl_retorno_aj decimal(10,6), dt_carga timestamp",
+    # every version of every filed account, and when it became known
+    "hist_dem_versao": "id_empresa int, id_data int, ds_tipo_dem string, ds_quadro string, cd_conta string, nr_versao int, "
+    "vl_conta decimal(20,2), dt_entrega date, dt_carga timestamp",
+    # what a later batch needs of the facts without reading them: each share's sessions by year, and what has
+    # changed since the derived facts were last brought up to date (id_acao NULL: all shares)
+    "estado_cotacao": "id_acao int, nr_ano int, id_primeiro int, id_ultimo int, vl_fechamento decimal(18,4), nr_pregoes bigint",
+    "estado_mudanca": "ds_destino string, id_acao int, id_de int, ds_causa string",
     # control
+    "quarentena": "id_carga bigint, ds_tabela string, nr_regras bigint, ds_regras string, ds_dados string, dt_carga timestamp",
+    "etl_arquivos": "id_carga bigint, ds_fonte string, ds_arquivo string, ds_checksum string, nr_bytes bigint, dt_carga timestamp",
     "log_auditoria": "id_log bigint, ds_tabela string, ds_operacao string, ds_usuario string, dt_operacao timestamp, "
     "ds_dados_antes string, ds_dados_depois string",
     "etl_log_erros": "id_erro bigint, id_carga bigint, ds_etapa string, ds_fonte string, ds_procedure string, "
@@ -110,31 +119,46 @@ UNIQUE_KEYS = {
     "fato_cotacao": ["id_acao", "id_data"],
     "fato_indicador_macro": ["id_indicador", "id_data"],
     "hist_preco_ajustado": ["id_acao", "id_data"],
+    "hist_dem_versao": ["id_empresa", "id_data", "ds_tipo_dem", "ds_quadro", "cd_conta", "nr_versao"],
+    "estado_cotacao": ["id_acao", "nr_ano"],
     # without a declared key in the model, kept unique here
     "fato_dem_financeira": ["id_empresa", "id_data", "ds_tipo_dem"],
     "fato_indicadores": ["id_acao", "id_data"],
 }
 
+_STAGED = ["id_staging", "dt_carga", "fl_processado"]
+
+# The columns declared NOT NULL, keys included.
 REQUIRED = {
-    "dim_setor": ["cd_setor", "ds_setor"],
-    "dim_subsetor": ["id_setor", "cd_subsetor", "ds_subsetor"],
-    "dim_segmento_listagem": ["cd_segmento", "ds_segmento"],
-    "dim_tipo_acao": ["cd_tipo", "ds_tipo"],
-    "dim_empresa": ["cd_cvm", "ds_razao_social"],
-    "dim_acao": ["cd_ticker", "id_empresa", "id_tipo_acao"],
-    "dim_data": ["dt_data", "nr_ano", "nr_mes", "nr_dia", "nr_trimestre", "nr_semestre"],
-    "dim_periodo_crise": ["ds_crise", "dt_inicio", "dt_fim"],
-    "dim_indicador_macro": ["cd_indicador", "ds_indicador", "ds_unidade", "ds_fonte"],
-    "fato_cotacao": ["id_acao", "id_data", "vl_abertura", "vl_fechamento", "vl_maximo", "vl_minimo", "vl_volume"],
-    "fato_indicador_macro": ["id_indicador", "id_data", "vl_indicador"],
-    "fato_dem_financeira": ["id_empresa", "id_data"],
-    "fato_indicadores": ["id_acao", "id_data"],
-    "hist_dividendos": ["id_acao", "id_data", "vl_dividendo", "ds_tipo"],
-    "hist_desdobramento": ["id_acao", "id_data", "ds_tipo", "vl_fator"],
-    "hist_preco_ajustado": ["id_acao", "id_data", "vl_fechamento_aj"],
-    "log_auditoria": ["ds_tabela", "ds_operacao"],
-    "parametros_sistema": ["cd_parametro", "vl_parametro"],
-}
+    "stg_cotacao": _STAGED,
+    "stg_indicadores_macro": _STAGED,
+    "stg_dem_financeira": _STAGED,
+    "stg_cadastro_empresa": _STAGED,
+    "stg_dividendos": _STAGED,
+    "stg_desdobramento": _STAGED,
+    "dim_setor": ["id_setor", "cd_setor", "ds_setor"],
+    "dim_subsetor": ["id_subsetor", "id_setor", "cd_subsetor", "ds_subsetor"],
+    "dim_segmento_listagem": ["id_segmento", "cd_segmento", "ds_segmento"],
+    "dim_tipo_acao": ["id_tipo_acao", "cd_tipo", "ds_tipo"],
+    "dim_empresa": ["id_empresa", "cd_cvm", "ds_razao_social"],
+    "dim_acao": ["id_acao", "cd_ticker", "id_empresa", "id_tipo_acao"],
+    "dim_data": [
+        "id_data", "dt_data", "nr_ano", "nr_mes", "nr_dia", "nr_trimestre", "nr_semestre", "ds_dia_semana", "nr_dia_semana", "ds_mes",
+    ],
+    "dim_periodo_crise": ["id_crise", "ds_crise", "dt_inicio", "dt_fim"],
+    "dim_indicador_macro": ["id_indicador", "cd_indicador", "ds_indicador", "ds_unidade", "ds_fonte"],
+    "fato_cotacao": ["id_cotacao", "id_acao", "id_data", "vl_abertura", "vl_fechamento", "vl_maximo", "vl_minimo", "vl_volume"],
+    "fato_indicador_macro": ["id_fato", "id_indicador", "id_data", "vl_indicador"],
+    "fato_dem_financeira": ["id_fato", "id_empresa", "id_data"],
+    "fato_indicadores": ["id_fato", "id_acao", "id_data"],
+    "hist_dividendos": ["id_dividendo", "id_acao", "id_data", "vl_dividendo", "ds_tipo"],
+    "hist_desdobramento": ["id_desdobramento", "id_acao", "id_data", "ds_tipo", "vl_fator"],
+    "hist_preco_ajustado": ["id_preco_aj", "id_acao", "id_data", "vl_fechamento_aj"],
+    "log_auditoria": ["id_log", "ds_tabela", "ds_operacao"],
+    "etl_log_erros": ["id_erro", "ds_etapa", "ds_procedure", "ds_erro", "dt_erro"],
+    "etl_controle_carga": ["id_carga", "ds_fonte", "ds_tabela_destino", "dt_inicio_carga", "ds_status"],
+    "parametros_sistema": ["id_parametro", "cd_parametro", "vl_parametro"],
+}
 
 # Row conditions; as in SQL, a condition that is NULL passes.
 ROW_CHECKS = {
@@ -150,18 +174,40 @@ ALLOWED_VALUES = {
     "log_auditoria": {"ds_operacao": ["INSERT", "UPDATE", "DELETE"]},
 }
 
+# The declared width of every text column that has one.
 TEXT_WIDTHS = {
+    "stg_cotacao": {
+        "ticker": 10, "dt_pregao": 20, "vl_abertura": 20, "vl_fechamento": 20, "vl_maximo": 20, "vl_minimo": 20, "vl_volume": 30, "ds_erro": 500,
+    },
+    "stg_indicadores_macro": {"cd_indicador": 20, "cd_serie_bcb": 20, "dt_referencia": 20, "vl_indicador": 30, "ds_erro": 500},
+    "stg_dem_financeira": {
+        "cd_cvm": 20, "ds_conta": 200, "cd_conta": 50, "vl_conta": 30, "dt_referencia": 20, "ds_tipo_dem": 20, "nr_versao": 10, "ds_erro": 500,
+    },
+    "stg_cadastro_empresa": {
+        "cd_cvm": 20, "nr_cnpj": 20, "ds_razao_social": 200, "ds_nome_pregao": 100, "ds_setor_atividade": 200, "ds_situacao": 50,
+        "dt_registro": 20, "dt_constituicao": 20, "ds_segmento": 100, "ds_erro": 500,
+    },
+    "stg_dividendos": {
+        "ticker": 10, "cd_cvm": 20, "dt_aprovacao": 20, "vl_provento": 30, "ds_tipo": 50, "dt_ex": 20, "dt_pagamento": 20, "ds_erro": 500,
+    },
+    "stg_desdobramento": {"ticker": 10, "dt_evento": 20, "ds_tipo": 30, "vl_fator": 20, "ds_descricao": 200, "ds_erro": 500},
     "dim_setor": {"cd_setor": 20, "ds_setor": 100, "ds_descricao": 500},
     "dim_subsetor": {"cd_subsetor": 20, "ds_subsetor": 100},
     "dim_segmento_listagem": {"cd_segmento": 20, "ds_segmento": 100, "ds_descricao": 500},
     "dim_tipo_acao": {"cd_tipo": 10, "ds_tipo": 50, "ds_descricao": 200},
     "dim_empresa": {"cd_cvm": 20, "nr_cnpj": 20, "ds_razao_social": 200, "ds_nome_pregao": 100},
     "dim_acao": {"cd_ticker": 10, "ds_acao": 200},
+    "dim_data": {"ds_dia_semana": 20, "ds_mes": 20},
     "dim_periodo_crise": {"ds_crise": 100, "ds_descricao": 500},
+    "dim_indicador_macro": {"cd_indicador": 20, "ds_indicador": 100, "ds_unidade": 50, "ds_fonte": 100, "cd_serie_bcb": 20, "ds_descricao": 500},
+    "fato_dem_financeira": {"ds_tipo_dem": 20},
     "hist_dividendos": {"ds_tipo": 50},
     "hist_desdobramento": {"ds_tipo": 20, "ds_descricao": 200},
+    "log_auditoria": {"ds_tabela": 100, "ds_operacao": 10, "ds_usuario": 100},
+    "etl_log_erros": {"ds_etapa": 50, "ds_fonte": 100, "ds_procedure": 100},
+    "etl_controle_carga": {"ds_fonte": 100, "ds_arquivo": 500, "ds_tabela_destino": 100, "ds_status": 20, "ds_checksum": 64},
     "parametros_sistema": {"cd_parametro": 50, "vl_parametro": 200, "ds_descricao": 500},
-}
+}
 
 # (child table, column, parent table, parent key, optional)
 FOREIGN_KEYS = [
@@ -184,3 +230,8 @@ FOREIGN_KEYS = [
     ]
     for column, parent in [(entity, entity_table), ("id_data", "dim_data")]
 ]
+
+
+def columns_in(condition: str) -> list[str]:
+    """The columns a row condition names."""
+    return re.findall(r"\b(?:id|nr|vl|dt|ds|cd|fl)_\w+", condition)

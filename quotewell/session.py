@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # A shuffle starts with many partitions and AQE merges the small ones to the advisory size; it splits skewed
 # ones even where that costs a further shuffle.
@@ -57,6 +57,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read again: used several times, they are computed once, and a lost
+    executor costs no more than one task's work."""
+    df.write.parquet(path := shared_dir(df.sparkSession, label))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure `DataFrame.checkpoint` has a folder, keeping the one already set."""
     context = spark.sparkContext

@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quotewell.functions.parsing import is_filled, same_text
+from quotewell.operators.keys import with_dense_keys
 
 BAD_LINE = "_bad_line"
 
@@ -121,6 +121,7 @@ def statement_source(kind: str, family: str = "DFP") -> CsvSource:
             "VL_CONTA": "vl_conta",
             "DT_REFER": "dt_referencia",
             "VERSAO": "nr_versao",
+            "ESCALA_MOEDA": "ds_escala",
         },
     )
 
@@ -178,19 +179,22 @@ def read_text_columns(spark: SparkSession, path: str, source: CsvSource) -> Data
     return reduce(DataFrame.unionByName, [read(names, files).select(*wanted, "_metadata") for names, files in groups])
 
 
-def placed(lines: DataFrame) -> DataFrame:
+def placed(lines: DataFrame, files: DataFrame, count: int) -> DataFrame:
     """The lines with `_place`, a number that ascends in file order: by file name, then by position in the file.
 
-    A line of a split has the split's first byte plus its number in the task, which is below the first byte of the
-    next split, as every line takes a byte at least. Eight TB a file and a million files fit.
+    `files` lists the delivered files (`ds_uri`, `ds_arquivo`; see `loading.file_checksums`), `count` of them; they are numbered by
+    Spark, not by the driver. A line of a split has the split's first byte plus its number in the task, which is below the first
+    byte of the next split, as every line takes a byte at least. Eight TB a file and a million files fit; a file that is
+    not in the list fails the load.
     """
-    ranks = {f: i for i, f in enumerate(sorted(lines.inputFiles()))}
-    spark = lines.sparkSession
-    names = spark.createDataFrame(pa.table({"_file": pa.array(ranks, pa.string()), "_rank": pa.array(ranks.values(), pa.int64())}))
     task_line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = lines.withColumns({"_file": F.input_file_name(), "_at": F.col("_metadata.file_block_start") + task_line})
-    ranked = rows.join(names, "_file", "left")
-    return ranked.withColumn("_place", F.shiftleft(F.coalesce("_rank", F.lit(len(ranks))), 43) + F.col("_at")).drop("_file", "_rank", "_at")
+    rows = lines.withColumn("_at", F.col("_metadata.file_block_start") + task_line)
+    if count == 1:
+        return rows.withColumnRenamed("_at", "_place")
+    ranks = with_dense_keys(files.select("ds_arquivo", F.col("ds_uri").alias("_uri")), ["ds_arquivo"], "_rank", 0).select("_uri", "_rank")
+    ranked = rows.withColumn("_file", F.col("_metadata.file_path")).join(ranks, F.col("_file") == F.col("_uri"), "left")
+    rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), F.col("_file"))).cast("bigint"))
+    return ranked.withColumn("_place", F.shiftleft(rank, 43) + F.col("_at")).drop("_file", "_uri", "_rank", "_at")
 
 
 def staging_columns(lines: DataFrame, source: CsvSource) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from quotewell.operators.joins import keep_first
 from quotewell.schemas import TABLES, struct
+from quotewell.session import stored
 from quotewell.sources.csv_files import FULL_LOAD, CsvSource, bad_lines, placed, read_text_columns, staging_columns
 from quotewell.sources.store import Store, literal_row
 
@@ -41,70 +42,86 @@ def as_batch(rows: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
-def next_id(store: Store, table: str, column: str) -> int:
-    """One above the highest number in use."""
-    return (store.read(table).agg(F.max(column)).first()[0] or 0) + 1
-
-
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 def log_errors(store: Store, errors: DataFrame, **constants: object) -> None:
-    """Append failing rows or job failures, numbered after the present ones."""
-    start = next_id(store, "etl_log_erros", "id_erro")
+    """Append failing rows or job failures, numbered after the highest number given so far.
+
+    Tasks number their rows in ranges of their own; the highest number comes from the write itself.
+    """
     for name, value in constants.items():
         errors = errors.withColumn(name, F.lit(value))
-    errors = errors.withColumn("id_erro", F.lit(start) + F.monotonically_increasing_id())
     if "dt_erro" not in errors.columns:
         errors = errors.withColumn("dt_erro", F.current_timestamp())
-    store.append(errors, "etl_log_erros")
+    store.append_numbered(errors, "etl_log_erros", "id_erro")
 
 
-def load_source(store: Store, source: CsvSource, path: str, checksum: str | None = None) -> DataFrame:
-    """Land one file in staging. Returns the report row; a failure is recorded and raised."""
-    load_id = next_id(store, "etl_controle_carga", "id_carga")
-    return literal_row(store.spark, REPORT, list(_land(store, source, path, checksum, load_id)))
+def load_source(store: Store, source: CsvSource, path: str, skip_repeated: bool = False) -> DataFrame:
+    """Land one file or folder in staging. Returns the report row; a failure is recorded and raised."""
+    return literal_row(store.spark, REPORT, list(_land(store, source, path, skip_repeated)))
 
 
-def _land(store: Store, source: CsvSource, path: str, checksum: str | None, load_id: int) -> tuple:
+def _land(store: Store, source: CsvSource, path: str, skip_repeated: bool) -> tuple:
     """The load itself; gives the values of the report row.
 
-    Lines are parsed once: counts come from the write itself. Only when bad lines were seen does a second
-    pass move their text to the error log.
+    Every file's SHA-256 goes to the ledger `etl_arquivos`, and of a single file or, of several, of the set of them to the
+    control table. With `skip_repeated` files that an earlier load of the source has recorded are left out, each by itself;
+    a delivery of nothing else is REPETIDO. Lines are parsed once: counts come from the write itself. Only when bad lines
+    were seen does a second pass move their text to the error log. Control row, ledger and errors are one commit.
     """
     spark = store.spark
     started = _utc_now()
+    load_id = store.reserve("etl_controle_carga.id_carga", 1)
 
-    def close(status: str, read: int | None, loaded: int | None, bad: int | None, message: str | None) -> None:
-        row = (load_id, source.name, path, source.table, started, _utc_now(), read, loaded, bad, status, message, checksum)
+    def close(status: str, read: int | None, loaded: int | None, bad: int | None, message: str | None, digest: str | None = None) -> None:
+        row = (load_id, source.name, path, source.table, started, _utc_now(), read, loaded, bad, status, message, digest)
         store.append(literal_row(spark, TABLES["etl_controle_carga"], list(row)).coalesce(1), "etl_controle_carga")
 
     try:
-        seen, kept = Observation(), Observation()
-        lines = placed(read_text_columns(spark, path, source))
-        counted = lines.observe(seen, F.count("*").alias("read"), F.count("_bad_line").alias("bad"))
-        rows = staging_columns(counted, source).observe(kept, F.count("*").alias("loaded"))
-        store.replace_pending(as_batch(rows), source.table, source.name, load_id)
-        read, bad, loaded = seen.get["read"], seen.get["bad"], kept.get["loaded"]
-        if bad:
-            log_errors(
-                store,
-                bad_lines(read_text_columns(spark, path, source)),
-                id_carga=load_id,
-                ds_etapa="EXTRACT",
-                ds_fonte=source.name,
-                ds_procedure="load_source",
-                ds_erro="malformed line",
-            )
+        sums = Observation()
+        files = file_checksums(spark, path)
+        files = stored(files.observe(sums, F.count("*").alias("linhas"), F.min("ds_checksum").alias("um"), *_limbs(F.col("ds_checksum"))), "files")
+        number = sums.get["linhas"]
+        # A single file's own hash; of several a digest that does not depend on their order.
+        digest = sums.get["um"] if number == 1 else hashlib.sha256(":".join(str(sums.get[c] or 0) for c in ("linhas", *_LIMBS)).encode()).hexdigest()
+        new = stored(unknown_files(store, files, source), "new-files") if skip_repeated else files
+        left_out = skip_repeated and new.count() < number
+        with store.commit():
+            if left_out and new.isEmpty():
+                close(REPEATED, 0, 0, 0, None, digest)
+                return load_id, source.name, 0, 0, 0, REPEATED
+            lines = read_text_columns(spark, path, source)
+            if left_out:
+                lines = lines if "_metadata" in lines.columns else lines.select("*", "_metadata")
+                lines = lines.join(new.select(F.col("ds_uri").alias("_uri")), F.col("_metadata.file_path") == F.col("_uri"), "left_semi")
+            seen, kept = Observation(), Observation()
+            counted = placed(lines, files, number).observe(seen, F.count("*").alias("read"), F.count("_bad_line").alias("bad"))
+            rows = staging_columns(counted, source).observe(kept, F.count("*").alias("loaded"))
+            store.replace_pending(as_batch(rows), source.table, source.name, load_id)
+            read, bad, loaded = seen.get["read"], seen.get["bad"], kept.get["loaded"]
+            if bad:
+                log_errors(
+                    store,
+                    bad_lines(lines),
+                    id_carga=load_id,
+                    ds_etapa="EXTRACT",
+                    ds_fonte=source.name,
+                    ds_procedure="load_source",
+                    ds_erro="malformed line",
+                )
+            ledger = new.withColumns({"id_carga": F.lit(load_id), "ds_fonte": F.lit(source.name), "dt_carga": F.current_timestamp()})
+            store.append(ledger.coalesce(1), "etl_arquivos")
+            status = PARTIAL if bad else DONE
+            close(status, read, loaded, bad, None, digest)
     except Exception as problem:
         message = str(problem).splitlines()[0]
-        close(FAILED, None, None, None, message)
-        failure = literal_row(spark, _FAILURE, [load_id, "EXTRACT", source.name, "load_source", message])
-        log_errors(store, failure)
+        with store.commit():
+            close(FAILED, None, None, None, message)
+            failure = literal_row(spark, _FAILURE, [load_id, "EXTRACT", source.name, "load_source", message])
+            log_errors(store, failure)
         raise
-    status = PARTIAL if bad else DONE
-    close(status, read, loaded, bad, None)
     return load_id, source.name, read, loaded, bad, status
 
 
@@ -113,19 +130,14 @@ def full_extract(
 ) -> DataFrame:
     """All loads in order. A failing stage is recorded and reported, the others still run.
 
-    `paths` gives the file or folder of each stage. With `skip_repeated` a delivery whose digest a successful
-    load of the same source has recorded is not loaded again, at the price of reading each file once more.
+    `paths` gives the file or folder of each stage. With `skip_repeated` files that a load of the same source has
+    recorded are not loaded again. The log tables are merged at the end.
     Returns (etapa, fonte, registros_carregados, status).
     """
     report = []
-    first = next_id(store, "etl_controle_carga", "id_carga")
-    for load_id, (stage, source) in enumerate(plan or FULL_LOAD, start=first):
+    for stage, source in plan or FULL_LOAD:
         try:
-            digest = path_digest(store.spark, paths[stage]) if skip_repeated else None
-            if digest and is_repeated(store, source, digest):
-                report.append((stage, source.name, 0, REPEATED))
-                continue
-            _, _, _, loaded, _, status = _land(store, source, paths[stage], digest, load_id)
+            _, _, _, loaded, _, status = _land(store, source, paths[stage], skip_repeated)
             report.append((stage, source.name, loaded, status))
         except Exception as problem:
             text = f"Falha na etapa: {stage}"
@@ -133,6 +145,7 @@ def full_extract(
             failure = literal_row(store.spark, _FAILURE, [None, "EXTRACT", "ORQUESTRADOR", "full_extract", message])
             log_errors(store, failure.withColumn("ds_dados", F.lit(text)))
             report.append((stage, source.name, 0, FAILED))
+    store.compact("etl_controle_carga", "etl_log_erros", "etl_arquivos")
     return store.spark.createDataFrame(report, "etapa string, fonte string, registros_carregados bigint, status string")
 
 
@@ -140,7 +153,8 @@ def full_extract(
 
 
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of every file, whatever its size: Spark lists the files, a task streams each through the hash.
+    """(ds_arquivo, ds_uri, nr_bytes, ds_checksum) with the SHA-256 of every file, whatever its size: Spark lists the files, a
+    task streams each through the hash. `ds_uri` is the name that rows read from the file carry.
 
     The one place of this part that runs Python in tasks: no built-in function hashes a file without holding it.
     """
@@ -148,10 +162,11 @@ def file_checksums(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([_sha256(n) for n in names])], ["ds_arquivo", "ds_checksum"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([_sha256(n) for n in names], pa.string())], schema=pa.schema([*batch.schema, ("ds_checksum", pa.string())]))
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    return files.mapInArrow(run, "ds_arquivo string, ds_checksum string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = files.select(F.col("path").alias("ds_arquivo"), F.col("_metadata.file_path").alias("ds_uri"), F.col("length").alias("nr_bytes"))
+    return files.mapInArrow(run, "ds_arquivo string, ds_uri string, nr_bytes bigint, ds_checksum string")
 
 
 def _sha256(uri: str) -> str:
@@ -164,17 +179,28 @@ def _sha256(uri: str) -> str:
     return digest.hexdigest()
 
 
+def unknown_files(store: Store, files: DataFrame, source: CsvSource) -> DataFrame:
+    """The files whose content no load of the source has recorded; of equal files in a delivery the first by name."""
+    held = store.read("etl_arquivos").filter(F.col("ds_fonte") == source.name).select("ds_checksum").distinct()
+    return keep_first(files, ["ds_checksum"], [F.col("ds_arquivo")]).join(held, "ds_checksum", "left_anti")
+
+
+_LIMBS = [f"_sum{i}" for i in range(4)]
+
+
+def _limbs(value: Column) -> list[Column]:
+    """All 256 bits of each value's hash summed, in four numbers of 64 bits."""
+    parts = [F.conv(F.substring(F.sha2(value, 256), i, 16), 16, 10).cast("decimal(20,0)") for i in (1, 17, 33, 49)]
+    return [F.sum(p).alias(name) for p, name in zip(parts, _LIMBS)]
+
+
 def _digest(lines: DataFrame, *by: str) -> DataFrame:
     """Line count and a digest of the count and the summed line hashes, folded map-side.
 
-    Two deliveries with the same lines in another order are the same. All 256 bits of each line's hash are summed,
-    in four numbers of 64 bits.
+    Two deliveries with the same lines in another order are the same.
     """
-    limbs = [F.conv(F.substring(F.sha2("value", 256), i, 16), 16, 10).cast("decimal(20,0)") for i in (1, 17, 33, 49)]
-    sums = lines.groupBy(*by).agg(
-        F.count("*").alias("linhas"), *[F.coalesce(F.sum(part), F.lit(0)).alias(f"_sum{i}") for i, part in enumerate(limbs)]
-    )
-    text = F.concat_ws(":", F.col("linhas"), *[F.col(f"_sum{i}").cast("string") for i in range(4)])
+    sums = lines.groupBy(*by).agg(F.count("*").alias("linhas"), *_limbs(F.col("value")))
+    text = F.concat_ws(":", F.col("linhas"), *[F.coalesce(F.col(c), F.lit(0)).cast("string") for c in _LIMBS])
     return sums.select(*by, "linhas", F.sha2(text, 256).alias("ds_checksum"))
 
 
@@ -184,16 +210,6 @@ def delivery_digests(spark: SparkSession, path: str) -> DataFrame:
     return _digest(lines.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("ds_arquivo"), "value"), "ds_arquivo")
 
 
-def path_digest(spark: SparkSession, path: str) -> str:
-    """The digest of one file or folder as a whole."""
-    return _digest(spark.read.option("recursiveFileLookup", True).text(path)).first()["ds_checksum"]
-
-
-def is_repeated(store: Store, source: CsvSource, digest: str) -> bool:
-    past = store.read("etl_controle_carga").filter(F.col("ds_status").isin(DONE, PARTIAL) & (F.col("ds_fonte") == source.name))
-    return not past.filter(F.col("ds_checksum") == digest).isEmpty()
-
-
 def unseen_files(checksums: DataFrame, control: DataFrame) -> DataFrame:
     """Files whose checksum no load that ended has recorded."""
     known = control.filter(F.col("ds_status").isin(DONE, PARTIAL)).filter("ds_checksum IS NOT NULL").select("ds_checksum").distinct()
@@ -214,17 +230,21 @@ def read_mark(store: Store, parameter: str) -> str:
 
 
 def advance_mark(store: Store, parameter: str, loaded: DataFrame, day: str) -> str | None:
-    """Move the mark forward to the latest business date loaded. One row a parameter stays; a mark never moves back."""
-    newest = loaded.agg(F.max(day)).first()[0]
+    """Move the mark forward to the latest business date loaded."""
+    return move_mark(store, parameter, loaded.agg(F.max(day)).first()[0])
+
+
+def move_mark(store: Store, parameter: str, newest: date | None) -> str | None:
+    """Move the mark forward to a day. One row a parameter stays; a mark never moves back."""
     if newest is None:
         return None
-    mark = max(str(newest), read_mark(store, parameter))
-    now = literal_row(store.spark, _MARK, [parameter, mark, _utc_now()])
     rows = latest_parameters(store)
+    held = {r["cd_parametro"]: r["vl_parametro"] for r in rows.select("cd_parametro", "vl_parametro").collect()}  # the settings: a few rows
+    mark, now = max(str(newest), held.get(parameter) or ""), _utc_now()
     here = F.col("cd_parametro") == parameter
-    if rows.filter(here).isEmpty():
-        rows = rows.unionByName(now, allowMissingColumns=True)
-    moved = rows.withColumns({"vl_parametro": F.when(here, mark).otherwise(F.col("vl_parametro")), "dt_atualizacao": F.when(here, F.lit(_utc_now())).otherwise(F.col("dt_atualizacao"))})
+    if parameter not in held:
+        rows = rows.unionByName(literal_row(store.spark, _MARK, [parameter, mark, now]), allowMissingColumns=True)
+    moved = rows.withColumns({"vl_parametro": F.when(here, mark).otherwise(F.col("vl_parametro")), "dt_atualizacao": F.when(here, F.lit(now)).otherwise(F.col("dt_atualizacao"))})
     store.swap(moved.coalesce(1), "parametros_sistema")
     return mark
 
