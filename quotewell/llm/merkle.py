@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quotewell.llm.graph import stored
 
 ARITY = 3
-BLOCK = ARITY**9
+BLOCK = ARITY**7
 STEP = "array<struct<left:string,right:string>>"
 
 
