@@ -75,19 +75,19 @@ def _windows(k: int) -> str:
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, {_WORDS.format("t")} AS l FROM d),
-three AS ({_windows(3)}), eight AS ({_windows(8)}),
+three AS ({_windows(3)}), twenty AS ({_windows(20)}),
 lines AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 b AS (SELECT d.doc_id, w.l, len(w.l) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines,
-        coalesce(three.n, 0) AS n_repeat_words, coalesce(eight.n, 0) AS n_covered_words,
+        coalesce(three.n, 0) AS n_repeat_words, coalesce(twenty.n, 0) AS n_passage_words,
         len(w.l) < 50 OR 100 * coalesce(three.n, 0) > 50 * len(w.l) AS base_failed
-      FROM d JOIN w USING (doc_id) LEFT JOIN three USING (doc_id) LEFT JOIN eight USING (doc_id) LEFT JOIN lines USING (doc_id)),
+      FROM d JOIN w USING (doc_id) LEFT JOIN three USING (doc_id) LEFT JOIN twenty USING (doc_id) LEFT JOIN lines USING (doc_id)),
 long AS (SELECT doc_id, i, array_to_string(l[i:i + 30], ' ') AS s FROM (SELECT doc_id, l, unnest(range(1, len(l) - 29)) AS i FROM b WHERE NOT base_failed)),
 pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS gap FROM long x JOIN long y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
 runs AS (SELECT doc_id, max(n) + 30 AS longest FROM (SELECT doc_id, gap, start, count(*) AS n FROM (
            SELECT doc_id, gap, i - row_number() OVER (PARTITION BY doc_id, gap ORDER BY i) AS start FROM pairs) GROUP BY ALL) GROUP BY doc_id)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND n_covered_words <= 0.5 * n_words AND NOT (coalesce(longest, 0) > 30 AND coalesce(longest, 0) > 0.2 * n_words) AS kept
+  NOT base_failed AND n_passage_words <= 0.2 * n_words AND NOT (coalesce(longest, 0) > 30 AND coalesce(longest, 0) > 0.05 * n_words) AS kept
 FROM b LEFT JOIN runs USING (doc_id)"""
 
 

@@ -582,18 +582,45 @@ def test_op9_odd_rows(spark, odd):
 
 
 def plain_quality(text, least=8):
+    """Counts as in quality.COUNTS, then the words in repeated passages of MIN_PASSAGE or more; windows by sums of word numbers' powers."""
     w = WORD.findall(text or "")
-    n = len(w)
+    n, prime = len(w), (1 << 61) - 1
+    number = {x: i + 1 for i, x in enumerate(dict.fromkeys(w))}
+    sums, powers = [0], [1]
+    for x in w:
+        sums.append((sums[-1] * 1_000_003 + number[x]) % prime)
+        powers.append(powers[-1] * 1_000_003 % prime)
 
-    def repeated(k):
-        grams = collections.Counter(tuple(w[i : i + k]) for i in range(n - k + 1))
-        return {j for i in range(n - k + 1) if grams[tuple(w[i : i + k])] > 1 for j in range(i, i + k)}
+    def windows(k):
+        return [(sums[i + k] - sums[i] * powers[k]) % prime for i in range(n - k + 1)]
 
-    longest = 0
-    while longest < n and repeated(longest + 1):
-        longest += 1
+    def repeated(k):
+        own = windows(k)
+        counts, edge = collections.Counter(own), [0] * (n + 1)
+        for i, x in enumerate(own):
+            if counts[x] > 1:
+                edge[i] += 1
+                edge[i + k] -= 1
+        inside, total = 0, 0
+        for step in edge:
+            inside += step
+            total += inside > 0
+        return total
+
+    low, high = 0, n  # a sequence that repeats has repeated parts of every shorter length
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if len(set(windows(middle))) < n - middle + 1 else (low, middle - 1)
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
-    return (n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(repeated(3)), longest, len(repeated(least)))
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    return (n, sum(map(len, w)), symbols, len(lines) - len(set(lines)), repeated(3), low, repeated(least), repeated(quality.MIN_PASSAGE))
+
+
+def plain_verdict(counts):
+    """(base_failed, kept) by the rule as it is stated: fixed limits, each of which rejects on its own."""
+    n, repeat, longest, passages = counts[0], counts[4], counts[5], counts[7]
+    failed = n < 50 or 100 * repeat > 50 * n
+    return failed, not failed and passages <= 0.2 * n and not (longest > 30 and longest > 0.05 * n)
 
 
 def test_repeats_of_random_texts():
@@ -603,18 +630,47 @@ def test_repeats_of_random_texts():
     data, offsets = words.from_texts(sample)
     got = quality.measure(data, offsets, 4)
     for i, t in enumerate(sample):
-        assert tuple(int(got[c][i]) for c in quality.COUNTS) == plain_quality(t, 4), t
+        assert tuple(int(got[c][i]) for c in [*quality.COUNTS, "n_passage_words"]) == plain_quality(t, 4), t
 
 
 def test_op10_over_the_table(spark, texts):
     for r in quality.judged(spark.read.parquet(f"{SF}/documents.parquet")).collect():
-        if len(texts[r.doc_id] or "") > 20_000:
-            continue  # the plain version takes minutes there
         want = plain_quality(texts[r.doc_id])
-        assert tuple(r[c] for c in quality.COUNTS) == want
-        n, repeat, longest, cover = want[0], want[4], want[5], want[6]
-        failed = n < 50 or 100 * repeat > 50 * n
-        assert r.base_failed == failed and r.kept == (not failed and cover <= 0.5 * n and not (longest > 30 and longest > 0.2 * n))
+        assert tuple(r[c] for c in [*quality.COUNTS, "n_passage_words"]) == want
+        assert (r.base_failed, r.kept) == plain_verdict(want)
+
+
+def made_texts():
+    """Texts that one limit alone rejects, that lie at a limit, and that pass; {doc_id: (text, kept)}."""
+    fresh = iter(f"w{i}" for i in range(10**6))
+    take = lambda n: " ".join(next(fresh) for _ in range(n))
+    pieces, quarter = [take(100) for _ in range(10)], [take(25) for _ in range(4)]
+    one, edge = take(360), take(30)
+    return {
+        1: (" ".join([take(3000), *pieces, *pieces[::-1]]), False),  # 40 percent in passages of 2 percent each
+        2: (f"{take(2640)} {one} {take(2640)} {one}", False),  # one passage of 6 percent, 12 percent covered
+        3: (" ".join([take(480), *quarter, *quarter[::-1]]), False),  # passages of 25 words, under a third of the text
+        4: (f"{take(300)} {edge} {take(40)} {edge}", True),  # 30 words, the most that one passage may have in a short text
+        5: (" ".join([take(800), *quarter, *quarter[::-1]]), True),  # exactly a fifth
+        6: (take(5000), True),
+        7: (take(49), False),
+        8: ("a b c " * 40, False),
+        9: (None, False),
+    }
+
+
+def test_op10_and_its_sql_on_texts_at_every_limit(spark):
+    import duckdb
+
+    made = made_texts()
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame([(k, t) for k, (t, _) in made.items()], "doc_id bigint, text string")).collect()}
+    assert {k: r.kept for k, r in got.items()} == {k: kept for k, (_, kept) in made.items()}
+    assert {k: plain_verdict(plain_quality(t)) for k, (t, _) in made.items()} == {k: (r.base_failed, r.kept) for k, r in got.items()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(k, t) for k, (t, _) in made.items()])
+    rows = con.execute(queries.ORACLES["op10_quality"]).df()
+    assert dict(zip(rows["doc_id"], rows["kept"])) == {k: kept for k, (_, kept) in made.items()}
 
 
 def test_op10_keeps_clean_texts_and_drops_copied_blocks(spark):
