@@ -22,10 +22,10 @@ from catalogue.files import (
     series_lines,
     split_lines,
 )
-from catalogue.market import ADJUSTED_RETURN, RISK, TRAILING
-from quotewell.operators import fundamentals
+from catalogue.market import ADJUSTED_RETURN, PHASES, RISK, TRAILING, periods
+from quotewell.operators import fundamentals, returns
 from quotewell.operators.aggregates import table_counts
-from quotewell.plans import derived, warehouse
+from quotewell.plans import derived, market, warehouse
 from quotewell.session import shared_dir
 from quotewell.sources import loading
 from quotewell.sources.csv_files import statement_source, write_csv
@@ -158,6 +158,38 @@ def st1_stateful(m):
     return last.select("id_acao", "id_data", "vl_fechamento", "vl_retorno_diario")
 
 
+WINDOWS = """SELECT o_orderkey AS pedido, CAST(o_orderkey % 10 + 1 AS BIGINT) AS id_acao, CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS INTEGER) AS de,
+    CAST(strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 200 AS INTEGER), '%Y%m%d') AS INTEGER) AS ate FROM orders"""
+
+
+@query(
+    "an7_prefix_windows",
+    sql("quotes", f"""SELECT w.pedido, w.id_acao, round(product(1 + CAST(q.vl_retorno_diario AS DOUBLE)) - 1, 6) AS vl_retorno
+        FROM ({WINDOWS}) w LEFT JOIN quotes q ON q.id_acao = w.id_acao AND q.id_data BETWEEN w.de AND w.ate AND q.vl_retorno_diario IS NOT NULL GROUP BY 1, 2"""),
+)
+def an7_prefix(m):
+    """A window of its own for every order: two lookups each in the shares' running sums."""
+    day = F.col("o_orderdate").cast("date")
+    as_key = lambda c: F.date_format(c, "yyyyMMdd").cast("int")
+    windows = m.table("orders").select(
+        F.col("o_orderkey").alias("pedido"), (F.col("o_orderkey") % 10 + 1).alias("id_acao"), as_key(day).alias("de"), as_key(F.date_add(day, (F.col("o_orderkey") % 200).cast("int"))).alias("ate")
+    )
+    return returns.window_returns(windows, returns.growth_to_date(m.quotes), "de", "ate").select("pedido", "id_acao", "vl_retorno")
+
+
+@query(
+    "an11_stored_fact",
+    sql("quotes", f"""SELECT id_acao, ds_crise, fase, count(*) AS pregoes, round(product(1 + r) - 1, 6) AS retorno, round(stddev_samp(r), 6) AS volatilidade
+        FROM (SELECT id_acao, dt_data, CAST(vl_retorno_diario AS DOUBLE) AS r FROM quotes WHERE vl_retorno_diario IS NOT NULL)
+        JOIN ({PHASES}) ON dt_data BETWEEN a AND b GROUP BY 1, 2, 3"""),
+)
+def an11_stored(m):
+    """The crisis study over the stored fact, whose folders of other years stay unread."""
+    store = new_store(m)
+    warehouse.load_quotes(store, quote_rows(m).drop("id_data"))
+    return market.crisis_study(store.read("fato_cotacao"), periods(m))
+
+
 # ---- statements -----------------------------------------------------------------------------------
 
 FILED = """SELECT o_custkey AS id_empresa, CAST(strftime(last_day(CAST(o_orderdate AS DATE)), '%Y%m%d') AS INTEGER) AS id_data,

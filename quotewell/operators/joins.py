@@ -74,12 +74,16 @@ def guard_deletes(deletes: DataFrame, children: DataFrame, key: str, child_key:
     )
 
 
-def tag_periods(df: DataFrame, periods: DataFrame, day: str, period_columns: list[str], how: str = "left") -> DataFrame:
+def tag_periods(
+    df: DataFrame, periods: DataFrame, day: str, period_columns: list[str], how: str = "left", year: str | None = None
+) -> DataFrame:
     """Attach every period [dt_inicio, dt_fim] that holds the row's date; overlapping periods each give a row.
 
-    Periods are spread over their months and joined on the month, so any number of periods is an equi-join.
+    Periods are spread over their months and joined on the month, so any number of periods is an equi-join. With `year`,
+    the column by which the rows lie in folders, the join is on the year as well: an inner join then reads the folders of the
+    periods' years only (dynamic pruning).
     """
-    months = periods.select(
+    spread = periods.filter("dt_inicio <= dt_fim").select(
         F.col("dt_inicio").alias("_from"),
         F.col("dt_fim").alias("_to"),
         *period_columns,
@@ -87,10 +91,13 @@ def tag_periods(df: DataFrame, periods: DataFrame, day: str, period_columns: lis
             "_month"
         ),
     )
+    months = spread.withColumn("_year", F.year("_month"))
     rows = df.alias("d")
     on = (F.trunc(F.col(f"d.{day}"), "month") == F.col("p._month")) & F.col(f"d.{day}").between(
         F.col("p._from"), F.col("p._to")
     )
+    if year:
+        on = (F.col(f"d.{year}") == F.col("p._year")) & on
     return rows.join(months.alias("p"), on, how).select("d.*", *[F.col(f"p.{c}") for c in period_columns])
 
 

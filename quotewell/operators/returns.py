@@ -111,6 +111,48 @@ def cumulative_returns(
     return quotes.filter(reduce(Column.__or__, inside.values())).groupBy(key).agg(*totals)
 
 
+def growth_to_date(quotes: DataFrame, returns: str = "vl_retorno_diario", key: str = "id_acao", day: str = "id_data") -> DataFrame:
+    """(key, day, log_acumulado, perdas_totais, retornos): running sums from which the return of any window follows.
+
+    The logarithms of 1 + return are summed without total losses (-1), which are counted; NULL returns add nothing.
+    """
+    r = F.col(returns).cast("double")
+    so_far = history(key, day).rowsBetween(W.unboundedPreceding, 0)
+    return quotes.select(
+        key,
+        day,
+        F.coalesce(F.sum(F.when(r > -1, F.log1p(r))).over(so_far), F.lit(0.0)).alias("log_acumulado"),
+        F.count(F.when(r <= -1, 1)).over(so_far).alias("perdas_totais"),
+        F.count(r).over(so_far).alias("retornos"),
+    )
+
+
+def window_returns(
+    windows: DataFrame, growth: DataFrame, first: str, last: str, out: str = "vl_retorno", key: str = "id_acao", day: str = "id_data"
+) -> DataFrame:
+    """Compound return of the window's share over its days `first` to `last`, both included; NULL without a return in it.
+
+    Two lookups in `growth_to_date` a window and no range of quotes. The distinct ends of all windows enter the share's own
+    history as rows, so a share's group is no longer than twice the calendar, however many windows it has; the windows then meet their
+    ends in plain joins, which Spark may split. The windows keep their columns; ends are days of the same kind as `day`.
+    """
+    facts = F.struct("log_acumulado", "perdas_totais", "retornos")
+    none = F.struct(F.lit(0.0).alias("log_acumulado"), F.lit(0).cast("bigint").alias("perdas_totais"), F.lit(0).cast("bigint").alias("retornos"))
+    # On one day: what was known before it (0), the day's own row (1), what is known with it (2).
+    ends = windows.select(key, F.col(first).alias(day), F.lit(0).alias("_side")).unionByName(windows.select(key, F.col(last).alias(day), F.lit(2).alias("_side"))).distinct()
+    rows = growth.select(key, day, F.lit(1).alias("_side"), facts.alias("_sums")).unionByName(ends, allowMissingColumns=True)
+    until = F.last("_sums", ignorenulls=True).over(W.partitionBy(key).orderBy(day, "_side"))
+    found = rows.withColumn("_known", F.coalesce(until, none)).filter("_side <> 1").select(key, day, "_side", "_known")
+
+    def end(column: str, side: int, name: str) -> DataFrame:
+        return found.filter(F.col("_side") == side).select(F.col(key), F.col(day).alias(column), F.col("_known").alias(name))
+
+    both = windows.join(end(first, 0, "_before"), [key, first], "left").join(end(last, 2, "_through"), [key, last], "left")
+    more = lambda c: F.col(f"_through.{c}") - F.col(f"_before.{c}")
+    value = F.when(more("perdas_totais") > 0, F.lit(-1.0)).otherwise(F.expm1(more("log_acumulado")))
+    return both.withColumn(out, F.when((F.col(first) <= F.col(last)) & (more("retornos") > 0), value)).select(*windows.columns, out)
+
+
 def endpoint_returns(
     quotes: DataFrame,
     windows: dict[str, tuple[date | str, date | str]],

@@ -226,9 +226,13 @@ def crisis_phases(periods: DataFrame) -> DataFrame:
 
 
 def crisis_study(quotes: DataFrame, periods: DataFrame, key: str = "id_acao") -> DataFrame:
-    """Compound return and volatility of every share before, during and after every crisis."""
-    days = quotes.select(key, date_of(F.col("id_data")).alias("dt_data"), F.col("vl_retorno_diario").cast("double").alias("r"))
-    tagged = tag_periods(days.filter("r IS NOT NULL"), crisis_phases(periods), "dt_data", ["ds_crise", "fase"], how="inner")
+    """Compound return and volatility of every share before, during and after every crisis.
+
+    Quotes that have `nr_ano`, as the stored fact has, are read in the folders of the phases' years only.
+    """
+    year = ["nr_ano"] if "nr_ano" in quotes.columns else []
+    days = quotes.select(key, date_of(F.col("id_data")).alias("dt_data"), F.col("vl_retorno_diario").cast("double").alias("r"), *year)
+    tagged = tag_periods(days.filter("r IS NOT NULL"), crisis_phases(periods), "dt_data", ["ds_crise", "fase"], how="inner", year=year[0] if year else None)
     return tagged.groupBy(key, "ds_crise", "fase").agg(
         F.count("*").alias("pregoes"),
         (F.product(1 + F.col("r")) - 1).alias("retorno"),

@@ -394,3 +394,32 @@ def test_state_of_a_stream_repairs_the_session_after_a_late_quote(spark, tmp_pat
     second = [(1, 20240103, "20", 1), (1, 20240105, "1", 1), (1, 20231229, "5", 2)]
     assert run("all", [first, second]) == [(1, 20231229, None), (1, 20240102, 1.0), (1, 20240103, 1.0), (1, 20240105, 0.5), (2, 20240102, None)]
     assert run("short", [first, second], keep=2) == [(1, 20240102, None), (1, 20240103, 1.0), (1, 20240105, 0.5), (2, 20240102, None)]
+
+
+# ---- windows and periods over the stored fact -----------------------------------------------------
+
+
+def test_any_window_takes_two_lookups(spark):
+    from quotewell.operators.returns import growth_to_date, window_returns
+
+    days = [(1, 20240102, None), (1, 20240103, "0.10"), (1, 20240105, "0.20"), (1, 20240110, "-1"), (1, 20240111, None), (2, 20240103, "0.50")]
+    fact = spark.createDataFrame([(a, d, r and Decimal(r)) for a, d, r in days], "id_acao int, id_data int, vl_retorno_diario decimal(10,6)")
+    asked = [("a", 1, 20240101, 20240104), ("b", 1, 20240103, 20240105), ("c", 1, 20240104, 20240104), ("d", 1, 20240105, 20240201), ("e", 1, 20240111, 20240111),
+             ("f", 2, 20230101, 20250101), ("g", 3, 20230101, 20250101), ("h", 1, 20240105, 20240103), ("b", 1, 20240103, 20240105), ("i", None, 20240101, 20240301)]
+    windows = spark.createDataFrame(asked, "nome string, id_acao int, de int, ate int")
+    out = window_returns(windows, growth_to_date(fact), "de", "ate")
+    found = sorted((r.nome, r.vl_retorno and round(r.vl_retorno, 9)) for r in out.collect())
+    assert found == [("a", 0.1), ("b", 0.32), ("b", 0.32), ("c", None), ("d", -1.0), ("e", None), ("f", 0.5), ("g", None), ("h", None), ("i", None)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_crisis_study_reads_the_years_of_its_phases(spark, market_store):
+    store = market_store
+    rows = [("A", f"{y}-{m:02d}-05", 10 + y % 7 + m) for y in (2021, 2022, 2023, 2024) for m in (1, 2, 3)]
+    warehouse.load_quotes(store, quotes(spark, *rows))
+    periods = spark.createDataFrame([("X", date(2023, 1, 20), date(2023, 2, 20)), ("never", date(2023, 2, 1), date(2023, 1, 1))], "ds_crise string, dt_inicio date, dt_fim date")
+    out = market.crisis_study(store.read("fato_cotacao"), periods)
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString().lower()
+    plain = market.crisis_study(store.read("fato_cotacao").drop("nr_ano"), periods)
+    assert rows_of(out, "fase") == rows_of(plain, "fase") and {r.fase for r in out.collect()} == {"antes", "durante", "depois"}
