@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotewell.llm import words
+from quotewell.llm.memory import tidy
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -150,7 +151,7 @@ def sample(docs: DataFrame, label: str, text: str, per_language: int) -> DataFra
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(p)], pa.int32()), pa.array(p)) for p in pair]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), *lists], ["label", "mark", "buckets", "counts"])
 
-    return texts.select("label", "mark", "text").mapInArrow(run, "label string, mark bigint, buckets array<int>, counts array<int>")
+    return texts.select("label", "mark", "text").mapInArrow(tidy(run), "label string, mark bigint, buckets array<int>, counts array<int>")
 
 
 def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 12, rate: float = 4.0, seed: int = 7) -> Model:
@@ -233,7 +234,7 @@ def predicted(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "t
                 arrays = [batch.column(0).slice(a, b - a), pa.array(labels[best], pa.string()), pa.array(score, pa.float64()), pa.array(rejected)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+    return docs.select(key, text).mapInArrow(tidy(run), f"`{key}` {docs.schema[key].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
 def accepted_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -246,7 +247,7 @@ def accepted_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFram
             for a, b, data, offsets in words.slices(batch.column(at)):
                 yield batch.slice(a, b - a).filter(pa.array(~shared.value.predict(data, offsets)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def held_out(key: str = "doc_id") -> Column:

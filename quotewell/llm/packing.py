@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from quotewell.llm.bytepairs import parts
+from quotewell.llm.memory import tidy
 from quotewell.session import shared_dir
 
 CAPACITY = 2048
@@ -65,10 +66,6 @@ class Encoder:
         )
         self.split, self.merge = getattr(self.model.pre_tokenizer, "pre_tokenize_str", None), self.model.model.tokenize
 
-    def forget(self) -> None:
-        """Empty the caches: a worker lives on after its task, and other work needs the memory."""
-        self.words, self.pieces = {"": b""}, {"": b""}
-
     def whole(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -119,7 +116,7 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=2)  # emptied when a task ends: tokenizer and caches take some 200 MB
 def _encoder(model: str) -> Encoder:
     return Encoder(model)
 
@@ -158,11 +155,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                     [keys.take(pa.array(columns[0], pa.int64())), *(pa.array(c, k) for c, k in zip(columns[1:], kinds[1:]))], names
                 )
                 held, size, first = [], 0, i + 1
-        encode.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if with_ids else "")
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(tidy(run, _encoder.cache_clear), schema)
 
 
 class Packing:

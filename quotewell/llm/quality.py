@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quotewell.llm import words
+from quotewell.llm.memory import tidy
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -162,4 +163,4 @@ def kept_rows(docs: DataFrame, text: str = "text", min_repeat: int = 8, min_pass
                 _, kept = verdicts(measure(data, offsets, min_repeat, min_passage), **limits)
                 yield batch.slice(a, b - a).filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quotewell.llm.graph import unused
+from quotewell.llm.memory import tidy
 
 MOST = 1 << 26
 
@@ -57,4 +58,4 @@ def sifted(rows: DataFrame, key: str, found: Sieve, inside: bool = True) -> Data
             keep = (slots >= 0) & own.holds(np.maximum(slots, 0))
             yield batch.select(list(range(last))).filter(pa.array(keep if inside else ~keep))
 
-    return rows.withColumn(name, at).mapInArrow(run, rows.schema)
+    return rows.withColumn(name, at).mapInArrow(tidy(run), rows.schema)

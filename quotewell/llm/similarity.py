@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quotewell.llm import words
 from quotewell.llm.graph import components, stored
+from quotewell.llm.memory import tidy, tidy_group
 from quotewell.llm.sieve import sieve, sifted
 
 BINS, ROWS = 640, 8
@@ -115,7 +116,7 @@ def sketched(docs: DataFrame, key: str, text: str, k: int, bins: int, rows: int)
                     [key, "n", "digest", "bands"],
                 )
 
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, f"`{key}` {kind}, n bigint, digest binary, bands array<bigint>")
+    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(tidy(run), f"`{key}` {kind}, n bigint, digest binary, bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -127,7 +128,7 @@ def full_sets(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shingles"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, f"rep {kind}, shingles binary")
+    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(tidy(run), f"rep {kind}, shingles binary")
 
 
 def shared_buckets(classes: DataFrame) -> DataFrame:
@@ -161,7 +162,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def _between(num: int, den: int):
@@ -197,7 +198,7 @@ def _between(num: int, den: int):
         found = [pair for _, bucket in rows.groupby(["bucket", "part", "turn"], sort=False) for pair in one(bucket)]
         return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]}, dtype=rows["rep"].dtype)
 
-    return run
+    return tidy_group(run, lambda rows: int(rows["shingles"].map(len).sum()))
 
 
 def open_links(met: DataFrame, sets: DataFrame, first: DataFrame, compared: DataFrame, num: int, den: int) -> DataFrame:
