@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotewell.llm import words
-from quotewell.llm.memory import tidy
+from quotewell.llm.memory import give_back, tidy
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -166,7 +166,7 @@ def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 16, epochs: i
     embed = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     out = rng.uniform(-1 / dim, 1 / dim, (dim, len(languages))).astype(np.float32)
     index = {name: i for i, name in enumerate(languages)}
-    bags = [(index[a], b, (c / max(c.sum(), 1)).astype(np.float32)) for a, b, c in bags]
+    bags = [(index[a], b, (c / max(c.sum(), 1)).astype(np.float32)) for a, b, c in bags]  # int32 buckets
     held, learned = [], []
     for language in range(len(languages)):
         own = [b for b in bags if b[0] == language]
@@ -212,12 +212,23 @@ def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], dim: int = 16, epochs: i
 
 
 def learn(docs: DataFrame, label: str = "lang", text: str = "text", per_language: int = 600) -> Model:
-    """The model of the rows given (leave out held-out rows before)."""
-    bags = [
-        (r["label"], np.array(r["buckets"], np.int64), np.array(r["counts"], np.float64))
-        for r in sorted(sample(docs, label, text, per_language).toLocalIterator(), key=lambda r: (r["mark"], r["label"]))
-    ]
-    return fit([b for b in bags if len(b[1])])
+    """The model of the rows given (leave out held-out rows before).
+
+    The sample comes as Arrow columns: as Python's numbers it would take some ten times its size on the driver.
+    """
+    table = sample(docs, label, text, per_language).toArrow()
+    order = sorted(zip(table.column("mark").to_pylist(), table.column("label").to_pylist(), range(table.num_rows)))
+    columns = [table.column(c).combine_chunks() for c in ("buckets", "counts")]
+    del table
+    bags = []
+    for _, name, i in order:
+        buckets, counts = (c[i].values.to_numpy(zero_copy_only=False) for c in columns)
+        if len(buckets):
+            bags.append((name, buckets, counts))
+    model = fit(bags)
+    del bags, columns
+    give_back()
+    return model
 
 
 def predicted(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -36,7 +36,7 @@ CAPACITY = 2048
 BLOCK = 4096
 ISLANDS = 2
 FULL = 0.98
-CACHE = 300_000
+CACHE = 150_000
 # White space in places where a text cannot be taken apart at every blank and newline.
 _ODD = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\0")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
