@@ -80,6 +80,8 @@ def _land(store: Store, source: CsvSource, path: str, skip_repeated: bool) -> tu
         store.append(literal_row(spark, TABLES["etl_controle_carga"], list(row)).coalesce(1), "etl_controle_carga")
 
     try:
+        if not store.is_there(path):
+            raise FileNotFoundError(f"no such file: {path}")
         sums = Observation()
         files = file_checksums(spark, path)
         files = stored(files.observe(sums, F.count("*").alias("linhas"), F.min("ds_checksum").alias("um"), *_limbs(F.col("ds_checksum"))), "files")

@@ -145,6 +145,10 @@ class Store:
             *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema(table)]
         )
 
+    def is_there(self, place: str) -> bool:
+        """Whether a delivered path exists."""
+        return self._commits.exists(place)
+
     # ---- versioned tables -------------------------------------------------------------------------
 
     def _written(self, df: DataFrame, table: str, sort: list[str] | None = None) -> list[str]:
