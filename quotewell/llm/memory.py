@@ -9,6 +9,7 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 LARGE = 8 << 20  # bytes of a group from which it is worth tidying up after
 
@@ -55,3 +56,12 @@ def tidy_group(run: Callable, size: Callable[..., int]) -> Callable:
         return out
 
     return tidied
+
+
+def settle(spark: SparkSession) -> None:
+    """Every executor collects its garbage once, which also gives heap that an earlier stage grew into back to the system.
+
+    One small task an executor; it is worth its fraction of a second between stages of different needs, not within one.
+    """
+    executors = max(1, len(spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()) - 1)
+    spark.range(0, executors, 1, executors).selectExpr("java_method('java.lang.System', 'gc') AS done").write.format("noop").mode("overwrite").save()
