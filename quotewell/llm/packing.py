@@ -36,7 +36,7 @@ CAPACITY = 2048
 BLOCK = 4096
 ISLANDS = 2
 FULL = 0.98
-CACHE = 150_000
+CACHE = 300_000
 # White space in places where a text cannot be taken apart at every blank and newline.
 _ODD = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\0")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -66,6 +66,10 @@ class Encoder:
         )
         self.split, self.merge = getattr(self.model.pre_tokenizer, "pre_tokenize_str", None), self.model.model.tokenize
 
+    def forget(self) -> None:
+        """Empty the caches: a worker lives on after its task, and other work needs the memory."""
+        self.words, self.pieces = {"": b""}, {"": b""}
+
     def whole(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -116,7 +120,7 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)  # emptied when a task ends: tokenizer and caches take some 200 MB
+@lru_cache(maxsize=2)
 def _encoder(model: str) -> Encoder:
     return Encoder(model)
 
@@ -155,10 +159,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                     [keys.take(pa.array(columns[0], pa.int64())), *(pa.array(c, k) for c, k in zip(columns[1:], kinds[1:]))], names
                 )
                 held, size, first = [], 0, i + 1
+        encode.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if with_ids else "")
-    return docs.select(key, text).mapInArrow(tidy(run, _encoder.cache_clear), schema)
+    return docs.select(key, text).mapInArrow(tidy(run), schema)
 
 
 class Packing:
