@@ -26,7 +26,7 @@ from catalogue.market import ADJUSTED_RETURN, PHASES, RISK, TRAILING, periods
 from quotewell.operators import fundamentals, returns
 from quotewell.operators.aggregates import table_counts
 from quotewell.plans import derived, market, warehouse
-from quotewell.session import shared_dir
+from quotewell.session import shared_dir, stored
 from quotewell.sources import loading
 from quotewell.sources.csv_files import statement_source, write_csv
 from quotewell.sources.store import Store
@@ -44,8 +44,13 @@ def new_store(m):
     return store
 
 
+def once(m):
+    """The mapped quotes, computed once for all the deliveries that are cut from them."""
+    return stored(m.bars, "bars")
+
+
 def quote_rows(m):
-    bars = m.bars.withColumn("cd_ticker", F.concat(F.lit("T"), F.col("id_acao"))).drop("id_acao")
+    bars = once(m).withColumn("cd_ticker", F.concat(F.lit("T"), F.col("id_acao"))).drop("id_acao")
     return bars.withColumn("id_staging", F.monotonically_increasing_id())
 
 
@@ -59,7 +64,7 @@ def load_two_deliveries(m):
     """Quotes, rates, statements and events in two deliveries, the second with a tenth of the first period's quotes; derived after each."""
     store = new_store(m)
     ticker = F.concat(F.lit("T"), F.col("id_acao")).alias("cd_ticker")
-    quotes = m.bars.select("*", ticker).withColumn("id_staging", F.monotonically_increasing_id())
+    quotes = once(m).select("*", ticker).withColumn("id_staging", F.monotonically_increasing_id())
     rates = m.series(1).select(F.lit("SELIC").alias("cd_indicador"), "dt_data", "vl_indicador", "id_data", F.lit(0).alias("id_staging"))
     statements = m.statements.withColumn("ds_tipo_dem", F.lit("ANUAL"))
     # Each event is one of its own, as repeated ones would be taken once.
@@ -137,9 +142,9 @@ def drop_files(m, folder):
 def st1_quotes(m):
     """Files of shuffled days arrive one after the other; each run takes the new ones."""
     store, root = new_store(m), shared_dir(m.spark, "arrivals")
-    place = F.pmod(F.xxhash64("ticker", "date"), F.lit(3))
+    lines, place = stored(quote_lines(m), "lines"), F.pmod(F.xxhash64("ticker", "date"), F.lit(3))
     for k in range(3):
-        write_csv(quote_lines(m).filter(place == k), f"{root}/in/{k}", QUOTES)
+        write_csv(lines.filter(place == k), f"{root}/in/{k}", QUOTES)
         stream.stream_quotes(store, f"{root}/in", f"{root}/checkpoint").awaitTermination()
     return store.read("fato_cotacao").select("id_acao", "id_data", "vl_fechamento", "vl_retorno_diario")
 
@@ -148,7 +153,7 @@ def st1_quotes(m):
 def st1_stateful(m):
     """The same days as a stream of rows whose state holds each share's closes."""
     root = shared_dir(m.spark, "arrivals")
-    rows = m.bars.select("id_acao", "id_data", "vl_fechamento")
+    rows = once(m).select("id_acao", "id_data", "vl_fechamento")
     place = F.pmod(F.xxhash64("id_acao", "id_data"), F.lit(3))
     for k in range(3):
         rows.filter(place == k).write.mode("append").parquet(f"{root}/in/{k}")

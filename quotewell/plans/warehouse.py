@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F
 
 from quotewell.functions.calendar import build_calendar, date_key
 from quotewell.functions.parsing import row_json, share_type, statement_period, whole_currency
@@ -14,7 +14,7 @@ from quotewell.operators.fundamentals import known_versions, statement_measures
 from quotewell.operators.joins import expand_monthly, insert_if_absent, keep_first, lookup_key, scd1_upsert
 from quotewell.operators.keys import day_key, with_block_keys, with_dense_keys
 from quotewell.operators.quality import broken_mask, broken_names, stored_rules
-from quotewell.operators.returns import change_on_previous, history, returns_out_of_range, with_amplitude
+from quotewell.operators.returns import change_on_previous, returns_out_of_range
 from quotewell.operators.typed import PASSED, REJECTED, TYPINGS, apply_typing
 from quotewell.plans.derived import ADJUSTED, INDICATORS, derive_adjusted, derive_indicators, note_changes
 from quotewell.seeds import seed_names, seed_table
@@ -26,6 +26,7 @@ from quotewell.sources.store import Store
 MONTHLY_SERIES = ["IPCA"]  # fixed value: filed once a month, repeated for every day of it
 EARLIEST = "1960-01-01"  # business days before it, or over a year after today, are taken for errors
 RATE = "SELIC"
+ROWS_A_FILE = 500_000  # of a year of quotes, about
 LOGS = ["etl_controle_carga", "etl_log_erros", "etl_arquivos", "quarentena", "log_auditoria", "estado_mudanca"]
 
 
@@ -317,9 +318,9 @@ def merged_sessions(state: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def closes_before(state: DataFrame, series: DataFrame) -> DataFrame:
-    """For each (share, year) the share's last close of an earlier year."""
+    """For each (share, year) the share's last close of an earlier year; NULL without one."""
     past = state.select("id_acao", F.col("nr_ano").alias("_year"), F.struct("id_ultimo", "vl_fechamento").alias("_last"))
-    last = series.join(past, (past["id_acao"] == series["id_acao"]) & (past["_year"] < series["nr_ano"])).groupBy(series["id_acao"], "nr_ano")
+    last = series.join(past, (past["id_acao"] == series["id_acao"]) & (past["_year"] < series["nr_ano"]), "left").groupBy(series["id_acao"], "nr_ano")
     last = last.agg(F.max("_last").alias("_last"))  # a share has a row a year at most
     return last.select("id_acao", "nr_ano", F.col("_last.id_ultimo").alias("id_data"), F.col("_last.vl_fechamento").alias("vl_fechamento"))
 
@@ -355,12 +356,9 @@ def load_quotes(store: Store, rows: DataFrame, holidays: DataFrame | None = None
         series = stored(series.observe(seen, F.count_if(F.col("id_primeiro") < F.col("_end")).alias("late")), "sessions").drop("_end")
         overflow = Observation()
         if not seen.get["late"]:
-            # One series a share: its seed is its last close, of whatever year.
-            after = merged_sessions(state, series)
-            seeds = state.groupBy("id_acao").agg(F.max("id_ultimo").alias("id_data"), F.max_by("vl_fechamento", "id_ultimo").alias("vl_fechamento"))
-            seeds = seeds.join(series.select("id_acao").distinct(), "id_acao", "left_semi").withColumn("_serie", F.col("id_acao").cast("bigint"))
-            again = new.withColumn("_serie", F.col("id_acao").cast("bigint"))
-            store.append(_with_returns(again, seeds, overflow), "fato_cotacao", ["id_acao", "id_data"])
+            # All that the state knows of a share comes before its new sessions, those of the same year too.
+            after, years, rows = merged_sessions(state, series), None, new
+            seeds = closes_before(state.withColumn("nr_ano", F.col("nr_ano") - 1).unionByName(series), series.select("id_acao", "nr_ano"))
         else:
             # The years with new quotes, and the next one of a share whose year now ends otherwise: its first return changes.
             after = stored(merged_sessions(state, series), "state")
@@ -370,13 +368,17 @@ def load_quotes(store: Store, rows: DataFrame, holidays: DataFrame | None = None
             touched = stored(series.select("id_acao", "nr_ano").unionByName(following).distinct(), "touched")
             years = [r[0] for r in touched.select("nr_ano").distinct().collect()]  # as many as the calendar has
             held = fact.filter(F.col("nr_ano").isin(years))
-            again = held.join(touched, ["id_acao", "nr_ano"], "left_semi").select(new.columns).unionByName(new)
-            again = again.withColumn("_serie", F.col("id_acao").cast("bigint") * 10_000 + F.col("nr_ano"))
-            seeds = closes_before(after, touched).withColumn("_serie", F.col("id_acao").cast("bigint") * 10_000 + F.col("nr_ano")).drop("nr_ano")
-            rest = held.join(touched, ["id_acao", "nr_ano"], "left_anti")
-            rows = rest.unionByName(_with_returns(again, seeds, overflow), allowMissingColumns=True)
-            store.replace_partitions(rows, "fato_cotacao", ["id_acao", "id_data"])
+            rows = held.unionByName(new, allowMissingColumns=True)
+            seeds = closes_before(after, touched)
+            largest = after.filter(F.col("nr_ano").isin(years)).groupBy("nr_ano").agg(F.sum("nr_pregoes").alias("n")).agg(F.max("n"))
+            count = largest.first()[0]  # one number
+        rows = _with_returns(rows, seeds, overflow, 1 + count // ROWS_A_FILE)
+        if years is None:
+            store.append(rows, "fato_cotacao", gathered=True)
+        else:
+            store.replace_partitions(rows, "fato_cotacao", gathered=True)
         if overflow.get["lost"]:
+            again = new if years is None else held.join(touched, ["id_acao", "nr_ano"], "left_semi").select(new.columns).unionByName(new)
             log_out_of_range(store, again, seeds)
         store.overwrite(after, "estado_cotacao", ["id_acao", "nr_ano"])
         note_changes(store, series.groupBy("id_acao").agg(F.min("id_primeiro").alias("id_de")), [ADJUSTED, INDICATORS], "cotacao")
@@ -386,6 +388,7 @@ def load_quotes(store: Store, rows: DataFrame, holidays: DataFrame | None = None
 def log_out_of_range(store: Store, quotes: DataFrame, seeds: DataFrame) -> None:
     """Put returns that do not fit their column on record; the fact holds NULL for them."""
     both = quotes.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
+    both = both.withColumn("_serie", F.col("id_acao").cast("bigint") * 10_000 + F.col("nr_ano"))
     lost = returns_out_of_range(both, key="_serie").filter("_seed IS NULL").select(
         F.lit("LOAD").alias("ds_etapa"),
         F.lit("KAGGLE_COTACAO").alias("ds_fonte"),
@@ -396,13 +399,26 @@ def log_out_of_range(store: Store, quotes: DataFrame, seeds: DataFrame) -> None:
     log_errors(store, lost)
 
 
-def _with_returns(quotes: DataFrame, seeds: DataFrame, overflow: Observation) -> DataFrame:
-    """Amplitude and return by series, the first row of each measured against its seed; `overflow` counts returns that do not fit."""
+def _with_returns(quotes: DataFrame, seeds: DataFrame, overflow: Observation, parts: int) -> DataFrame:
+    """Amplitude and return of the (share, year) series that have a row in `seeds`, the first session of each measured against
+    that; other rows stay as they are. `overflow` counts returns that do not fit.
+
+    One shuffle by year and part of the shares serves the window and the write: the rows come out by year, share and day, and a
+    year in as many files as parts.
+    """
     both = quotes.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
-    both = both.withColumn("_change", change_on_previous("vl_fechamento", history("_serie", "id_data")))
-    rows = both.withColumn("vl_retorno_diario", F.col("_change").try_cast("decimal(10,6)")).filter("_seed IS NULL")
-    rows = rows.observe(overflow, F.count_if(F.col("_change").isNotNull() & F.col("vl_retorno_diario").isNull()).alias("lost"))
-    return with_amplitude(rows.drop("_seed", "_serie", "_change"))
+    for c in ("vl_retorno_diario", "vl_amplitude"):
+        if c not in both.columns:
+            both = both.withColumn(c, F.lit(None))
+    both = both.withColumn("_part", F.pmod(F.hash("id_acao"), F.lit(parts))).repartition("nr_ano", "_part")
+    over = W.partitionBy("nr_ano", "_part", "id_acao").orderBy("id_data")  # a seed lies in an earlier year or has no day: it comes first
+    both = both.withColumns({"_due": F.first("_seed").over(over), "_change": change_on_previous("vl_fechamento", over)})
+    rows = both.filter("_seed IS NULL").withColumn("_fits", F.col("_change").try_cast("decimal(10,6)"))
+    rows = rows.observe(overflow, F.count_if(F.col("_due") & F.col("_change").isNotNull() & F.col("_fits").isNull()).alias("lost"))
+    amplitude = (F.col("vl_maximo") - F.col("vl_minimo")).cast("decimal(18,4)")
+    values = {"vl_retorno_diario": F.when(F.col("_due"), F.col("_fits")).otherwise(F.col("vl_retorno_diario")),
+              "vl_amplitude": F.when(F.col("_due"), amplitude).otherwise(F.col("vl_amplitude"))}
+    return rows.withColumns(values).drop("_seed", "_part", "_due", "_change", "_fits")
 
 
 # ---- series, statements and events ----------------------------------------------------------------

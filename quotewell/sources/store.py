@@ -151,9 +151,10 @@ class Store:
 
     # ---- versioned tables -------------------------------------------------------------------------
 
-    def _written(self, df: DataFrame, table: str, sort: list[str] | None = None) -> list[str]:
+    def _written(self, df: DataFrame, table: str, sort: list[str] | None = None, gathered: bool = False) -> list[str]:
         """Write rows to a new folder; the folders, relative to the table, that hold them."""
-        rows, layout = self._gathered(self.fit(df, table), table), self.layout(table)
+        rows, layout = self.fit(df, table), self.layout(table)
+        rows = rows if gathered else self._gathered(rows, table)
         if sort:
             rows = rows.sortWithinPartitions(*layout, *sort)
         folder = f"versao={self.snapshot().number:012d}-{uuid.uuid4().hex[:8]}"
@@ -163,10 +164,11 @@ class Store:
             return [folder]
         return [f"{folder}/{part}" for part in self._commits.children(f"{self.path(table)}/{folder}") if "=" in part]
 
-    def append(self, df: DataFrame, table: str, sort: list[str] | None = None) -> None:
-        """Add rows. Within its files a fact is sorted by key, for row-group skipping."""
+    def append(self, df: DataFrame, table: str, sort: list[str] | None = None, gathered: bool = False) -> None:
+        """Add rows. Within its files a fact is sorted by key, for row-group skipping. Rows that lie together by folder already
+        (`gathered`) are written as they come."""
         with self.commit():
-            self._draft.tables.setdefault(table, []).extend(self._written(df, table, sort))
+            self._draft.tables.setdefault(table, []).extend(self._written(df, table, sort, gathered))
 
     def append_numbered(self, df: DataFrame, table: str, number: str) -> None:
         """Add rows numbered above all numbers given so far: tasks number theirs in ranges of their own, and the highest comes from
@@ -184,15 +186,16 @@ class Store:
 
     swap = overwrite
 
-    def replace_partitions(self, df: DataFrame, table: str, sort: list[str] | None = None) -> None:
+    def replace_partitions(self, df: DataFrame, table: str, sort: list[str] | None = None, gathered: bool = False) -> None:
         """Rewrite exactly the partitions the frame has rows for; the files of the others stay. Repeating it changes nothing."""
         if table in STAGING_TABLES:
-            self._gathered(self.fit(df, table), table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            rows = self.fit(df, table)
+            (rows if gathered else self._gathered(rows, table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 *self.layout(table)
             ).parquet(self.path(table))
             return
         with self.commit():
-            new = self._written(df, table, sort)
+            new = self._written(df, table, sort, gathered)
             parts = {f.split("/", 1)[1] for f in new}
             old = self._draft.tables.get(table, [])
             self._draft.tables[table] = [f for f in old if f.split("/", 1)[1] not in parts] + new
