@@ -21,6 +21,8 @@ from quotewell.sources.loading import log_errors
 from quotewell.sources.store import Store
 from quotewell.streaming.arrivals import stream_lines
 
+SHARES = 16  # shares a group of the stream's state, a power of two
+
 
 def stream_quotes(store: Store, folder: str, checkpoint: str, source: CsvSource = QUOTES, files_per_batch: int | None = None) -> StreamingQuery:
     """Every new file of the folder into fato_cotacao, each batch in one commit with its state, its rejects and its number.
@@ -65,45 +67,73 @@ def stateful_returns(
 ) -> DataFrame:
     """Closes of a stream as rows (key, day, close, vl_anterior, vl_retorno_diario), new ones and corrected ones, in update mode.
 
-    The state of a share is its days and closes, in order. A quote of a new day gives its own row; if the share has a later session,
+    The state holds each share's days and closes, in order. A quote of a new day gives its own row; if the share has a later session,
     that one's row comes again with its new predecessor. A day that is there already is ignored; of equal days in a batch the one
-    lowest in `order` counts. With `keep` the state holds only the latest `keep` sessions, and a quote before the first of these is
-    ignored; without, it grows with the calendar, a dozen bytes a session. Groups are read in pieces, so a batch of many repeats is never in
-    memory as a whole. Returns are decimal, as in batch. Rows without a key, a day or a close are left out.
+    lowest in `order` counts, NULL last. With `keep` the state holds only the latest `keep` sessions, and a quote before the first of
+    these is ignored; without, it grows with the calendar, 16 bytes a session. Shares of neighbouring whole numbers, SHARES of them
+    at most, have one group and state, as a group costs Spark more than its rows; a key of another type has a group of its
+    own. Groups are read in pieces, so a batch of many repeats is never in memory as a whole. Returns are decimal, as in batch. Rows
+    without a key, a day or a close are left out.
     """
     fields = dict(quotes.dtypes)
     unit = 10_000  # closes have four digits: whole numbers in the state
+    whole = fields[key] in ("tinyint", "smallint", "int", "bigint")
+    none = (np.empty(0, np.int64),) * 2
 
     def run(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        days, closes = (np.array(a, np.int64) for a in state.get) if state.exists else (np.empty(0, np.int64), np.empty(0, np.int64))
-        first: dict[int, tuple] = {}
+        held: dict[int, tuple] = {}
+        if state.exists:
+            slots, sizes, *both = (np.frombuffer(a, np.int64) for a in state.get)
+            held = dict(zip(slots.tolist(), zip(*[np.split(a, np.cumsum(sizes)[:-1]) for a in both])))
+        new: dict[int, tuple] = {}
         for part in parts:
-            for d, c, o in zip(part["_day"].tolist(), part["_close"].tolist(), part["_order"].tolist()):
-                if d not in first or (o, c) < first[d]:
-                    first[d] = (o, c)
-        known = set(days.tolist())
-        oldest = int(days[0]) if keep and len(days) >= keep else None
-        new = sorted(d for d in first if d not in known and (oldest is None or d > oldest))
-        if not new:
+            rows = [part[name].to_numpy(np.int64) for name in ("_slot", "_day", "_close", "_order")]
+            for slot in np.unique(rows[0]).tolist():
+                days = held.get(slot, none)[0]
+                d, c, o = (a[rows[0] == slot] for a in rows[1:])
+                fresh = ~np.isin(d, days)
+                if keep and len(days) >= keep:
+                    fresh &= d > days[0]
+                d, c, o = (np.concatenate([a, b[fresh]]) for a, b in zip(new[slot], (d, c, o))) if slot in new else (d[fresh], c[fresh], o[fresh])
+                order = np.lexsort((c, o, d))
+                d, c, o = d[order], c[order], o[order]
+                first = np.append(True, d[1:] != d[:-1])[: len(d)]
+                new[slot] = d[first], c[first], o[first]
+        out = []
+        for slot, (d, c, _) in new.items():
+            if not len(d):
+                continue
+            days, closes = held.get(slot, none)
+            spots = np.searchsorted(days, d)
+            days, closes = np.insert(days, spots, d), np.insert(closes, spots, c)
+            own = np.searchsorted(days, d)
+            at = np.unique(np.concatenate([own, own + 1]))
+            at = at[at < len(days)]
+            before = closes[at - 1].astype(object)
+            if at[0] == 0:
+                before[0] = None
+            out.append((np.full(len(at), slot), days[at], closes[at], before))
+            held[slot] = (days[-keep:], closes[-keep:]) if keep else (days, closes)
+        if not out:
             return
-        added = np.array([first[d][1] for d in new], np.int64)
-        spots = np.searchsorted(days, new)
-        days, closes = np.insert(days, spots, new), np.insert(closes, spots, added)
-        own = np.searchsorted(days, new)
-        at = np.unique(np.concatenate([own, own + 1]))
-        at = at[at < len(days)]
-        before = [int(closes[i - 1]) if i else None for i in at]
-        state.update((days[-keep:].tolist() if keep else days.tolist(), closes[-keep:].tolist() if keep else closes.tolist()))
-        yield pd.DataFrame({key: group[0], "_day": days[at], "_close": closes[at], "_before": pd.array(before, "Int64")})
+        sizes = [len(days) for days, _ in held.values()]
+        columns = [np.array(list(held), np.int64), np.array(sizes, np.int64), *[np.concatenate(a) for a in zip(*held.values())]]
+        state.update(tuple(a.tobytes() for a in columns))
+        slot, day_, close_, before = (np.concatenate(a) for a in zip(*out))
+        yield pd.DataFrame({"_key": group[0] * SHARES + slot if whole else group[0], "_day": day_, "_close": close_, "_before": before})
 
     amount = (F.col(close).cast("decimal(18,4)") * unit).cast("bigint")
-    rank = F.lit(0).cast("bigint") if order is None else F.col(order).cast("bigint")
-    rows = quotes.select(key, F.col(day).cast("bigint").alias("_day"), amount.alias("_close"), rank.alias("_order")).dropna(subset=[key, "_day", "_close"])
-    out = rows.groupBy(key).applyInPandasWithState(
-        run, f"{key} {fields[key]}, _day bigint, _close bigint, _before bigint", "days array<bigint>, closes array<bigint>", "update", GroupStateTimeout.NoTimeout
+    rank = F.lit(0).cast("bigint") if order is None else F.coalesce(F.col(order).cast("bigint"), F.lit(2**63 - 1))
+    number = F.col(key).cast("bigint") if whole else F.lit(0)
+    slot = number.bitwiseAND(F.lit(SHARES - 1)).cast("bigint").alias("_slot")
+    group = (F.shiftright(number, SHARES.bit_length() - 1) if whole else F.col(key)).alias("_group")
+    kind = "bigint" if whole else fields[key]
+    rows = quotes.dropna(subset=[key]).select(group, slot, F.col(day).cast("bigint").alias("_day"), amount.alias("_close"), rank.alias("_order"))
+    out = rows.dropna(subset=["_day", "_close"]).groupBy("_group").applyInPandasWithState(
+        run, f"_key {kind}, _day bigint, _close bigint, _before bigint", "slots binary, sizes binary, days binary, closes binary", "update", GroupStateTimeout.NoTimeout
     )
     price = lambda c: (F.col(c).cast("decimal(14,0)") * F.expr("0.0001")).cast("decimal(18,4)")
-    out = out.select(key, F.col("_day").cast(fields[day]).alias(day), price("_close").alias(close), price("_before").alias("vl_anterior"))
+    out = out.select(F.col("_key").cast(fields[key]).alias(key), F.col("_day").cast(fields[day]).alias(day), price("_close").alias(close), price("_before").alias("vl_anterior"))
     change = F.try_divide(F.col(close), F.col("vl_anterior")) - 1
     return out.withColumn("vl_retorno_diario", change.try_cast("decimal(10,6)"))
 

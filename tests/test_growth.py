@@ -7,6 +7,34 @@ from decimal import Decimal
 from pyspark.sql import Observation
 
 from quotewell.plans import warehouse
+from quotewell.streaming import quotes as stream
+
+
+def test_neighbouring_shares_are_one_group_of_the_streams_state(spark, tmp_path):
+    schema = "id_acao int, id_data int, vl_fechamento decimal(18,4)"
+    rows = [(a, 20240102 + d, Decimal(10 + a % 3 + d)) for a in (-17, -1, 0, 1, 15, 16) for d in range(3)]
+    for day in (20240102, 20240104, 20240103):
+        spark.createDataFrame([r for r in rows if r[1] == day], schema).write.mode("append").parquet(str(tmp_path / "in" / str(day)))
+        arriving = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        query = stream.write_changes(stream.stateful_returns(arriving), str(tmp_path / "out"), str(tmp_path / "check"))
+        query.awaitTermination()
+        states = max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"])
+        assert states == 4  # -32 to -17, -16 to -1, 0 to 15, 16 to 31
+    last = stream.latest_changes(spark.read.parquet(str(tmp_path / "out")), ["id_acao", "id_data"])
+    found = {(r.id_acao, r.id_data): r.vl_retorno_diario for r in last.collect()}
+    cents = lambda c, b: (c / b - 1).quantize(Decimal("0.000001"))
+    closes = {(a, d): c for a, d, c in rows}
+    assert found == {(a, d): cents(c, closes[a, d - 1]) if (a, d - 1) in closes else None for (a, d), c in closes.items()}
+
+
+def test_text_keys_have_a_state_each(spark, tmp_path):
+    schema = "cd string, id_data int, vl_fechamento decimal(18,4), place int"
+    rows = [("a", 1, Decimal(10), None), ("a", 1, Decimal(20), 5), ("b", 2, Decimal(5), 1)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    stream.write_changes(stream.stateful_returns(arriving, key="cd", order="place"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out")).select("cd", "id_data", "vl_fechamento").collect()
+    assert sorted((r[0], r[1], int(r[2])) for r in out) == [("a", 1, 20), ("b", 2, 5)]
 
 
 def test_quotes_are_shuffled_once_for_their_returns_and_their_folders(spark):
