@@ -197,17 +197,21 @@ def placed(lines: DataFrame, files: DataFrame, count: int) -> DataFrame:
     return ranked.withColumn("_place", F.shiftleft(rank, 43) + F.col("_at")).drop("_file", "_uri", "_rank", "_at")
 
 
-def staging_columns(lines: DataFrame, source: CsvSource) -> DataFrame:
-    """Well-formed lines of the source: wanted rows and columns, renamed, with the source's literals."""
-    rows = lines.filter(F.col(BAD_LINE).isNull())
+def staging_columns(lines: DataFrame, source: CsvSource, with_bad: bool = False) -> DataFrame:
+    """Well-formed lines of the source: wanted rows and columns, renamed, with the source's literals.
+
+    `with_bad` keeps the malformed lines as well, whatever is in them, with their text in `_bad_line`.
+    """
+    bad, wanted = F.col(BAD_LINE).isNotNull(), F.lit(True)
     for column, value in source.only.items():
-        rows = rows.filter(same_text(F.col(column), F.lit(value)))
-    rows = rows.select(
+        wanted = wanted & same_text(F.col(column), F.lit(value))
+    if source.not_blank:
+        wanted = wanted & is_filled(F.col(next(a for a, b in source.columns.items() if b == source.not_blank)))
+    return lines.filter(bad | wanted if with_bad else ~bad & wanted).select(
         *[F.col(a).alias(b) for a, b in source.columns.items()],
         *[F.lit(v).alias(c) for c, v in source.literals.items()],
-        *[c for c in lines.columns if c == "_place"],
+        *[c for c in lines.columns if c == "_place" or (with_bad and c == BAD_LINE)],
     )
-    return rows.filter(is_filled(F.col(source.not_blank))) if source.not_blank else rows
 
 
 def read_staging(spark: SparkSession, path: str, source: CsvSource) -> DataFrame:

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quotewell.operators.typed import QUOTES as TYPING, apply_typing, passed, rejected
+from quotewell.operators.typed import QUOTES as TYPING, REJECTED, apply_typing, passed
 from quotewell.plans.warehouse import load_quotes
 from quotewell.session import shared_dir
-from quotewell.sources.csv_files import QUOTES, CsvSource, bad_lines, staging_columns
+from quotewell.sources.csv_files import BAD_LINE, QUOTES, CsvSource, staging_columns
 from quotewell.sources.loading import log_errors
 from quotewell.sources.store import Store
 from quotewell.streaming.arrivals import stream_lines
@@ -37,16 +37,15 @@ def stream_quotes(store: Store, folder: str, checkpoint: str, source: CsvSource
         if store.snapshot().marks.get(name, 0) > number:
             return
         batch = batch.withColumn("_place", F.struct("_place", F.monotonically_increasing_id().alias("line")))
-        typed = apply_typing(staging_columns(batch, source), TYPING)
-        malformed = bad_lines(batch).select(F.lit("malformed line").alias("ds_erro"), "ds_dados")
-        good, lost = passed(typed).withColumnRenamed("_place", "id_staging"), malformed.unionByName(rejected(typed).select("ds_erro", "ds_dados"))
-
-        def own(df: DataFrame, label: str) -> DataFrame:
-            """The rows computed once, as a table of the store's own session."""
-            df.write.parquet(path := shared_dir(store.spark, label))
-            return store.spark.read.schema(df.schema).parquet(path)
-
-        good, lost = own(good, "arrived"), own(lost, "rejected")
+        # One pass over the files: the lines of all outcomes become a table of the store's own session.
+        typed = apply_typing(staging_columns(batch, source, with_bad=True), TYPING)
+        typed.write.parquet(path := shared_dir(store.spark, "arrived"))
+        typed = store.spark.read.schema(typed.schema).parquet(path)
+        bad = F.col(BAD_LINE).isNotNull()
+        good = passed(typed.filter(~bad)).drop(BAD_LINE).withColumnRenamed("_place", "id_staging")
+        lost = typed.filter(bad | (F.col("fl_processado") == REJECTED)).select(
+            F.when(bad, "malformed line").otherwise(F.col("ds_erro")).alias("ds_erro"), F.coalesce(BAD_LINE, "ds_dados").alias("ds_dados")
+        )
         with store.commit():
             if not lost.isEmpty():
                 log_errors(store, lost, ds_etapa="STREAM", ds_fonte=source.name, ds_procedure="stream_quotes")

@@ -6,7 +6,9 @@ from decimal import Decimal
 
 from pyspark.sql import Observation
 
+from quotewell.operators.typed import QUOTES as TYPING, apply_typing
 from quotewell.plans import warehouse
+from quotewell.sources import csv_files
 from quotewell.streaming import quotes as stream
 
 
@@ -48,3 +50,11 @@ def test_quotes_are_shuffled_once_for_their_returns_and_their_folders(spark):
     assert sorted((r.id_acao, r.vl_retorno_diario, r.vl_amplitude) for r in out.collect()) == [(1, one, 9), (2, 7, one)]
     plan = out.sortWithinPartitions("nr_ano")._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
+
+
+def test_lines_of_a_stream_are_typed_and_kept_apart_in_one_pass(spark, tmp_path):
+    (tmp_path / "q.csv").write_text("ticker,date,open,close,high,low,volume\nA,2024-01-02,1,1,1,1,1\nA,2024-01-03\n")
+    lines = csv_files.read_text_columns(spark, str(tmp_path / "q.csv"), csv_files.QUOTES)
+    out = apply_typing(csv_files.staging_columns(lines, csv_files.QUOTES, with_bad=True), TYPING)
+    assert sorted((r._bad_line or "", r.fl_processado) for r in out.collect()) == [("", 1), ("A,2024-01-03", 2)]
+    assert len(csv_files.staging_columns(lines, csv_files.QUOTES).collect()) == 1
