@@ -74,10 +74,7 @@ def rewrite_changed(store: Store, table: str, fresh: DataFrame, todo: DataFrame,
     values = [c for c in fresh.columns if c not in (*key, "nr_ano", "dt_carga")]
     fresh = stored(fresh, table)
     held = store.read(table).filter(F.col("nr_ano") >= lowest // 10_000).join(todo, "id_acao").filter("id_data >= id_de")
-    old = held.select(*key, F.struct(*[F.col(c).cast(store.schema(table)[c].dataType) for c in values]).alias("_old"))
-    new = fresh.select(*key, F.struct(*[F.col(c).cast(store.schema(table)[c].dataType) for c in values]).alias("_new"))
-    differ = old.join(new, key, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
-    years = [r[0] for r in differ.select(year_of(F.col("id_data"))).distinct().collect()]  # as many as the calendar has
+    years = differing_years(store, table, held, fresh, [*key, *values])
     if not years:
         return
     rest = store.read(table).filter(F.col("nr_ano").isin(years)).join(todo, "id_acao", "left").filter("id_de IS NULL OR id_data < id_de")
@@ -85,6 +82,22 @@ def rewrite_changed(store: Store, table: str, fresh: DataFrame, todo: DataFrame,
     store.replace_partitions(rows, table, key)
 
 
+def differing_years(store: Store, table: str, old: DataFrame, new: DataFrame, columns: list[str]) -> list[int]:
+    """The years in which the two do not hold the same rows, in the stored types; rows are unique by key.
+
+    A year's rows are folded map-side to their number and to 160 bits that do not depend on their order, so nothing is joined.
+    """
+    cells = [F.col(c).cast(store.schema(table)[c].dataType) for c in columns]
+    cells += [F.isnull(c) for c in columns]  # a hash passes over NULL
+    side = lambda df, name: df.select(year_of(F.col("id_data")).alias("_year"), F.lit(name).alias("_side"), F.xxhash64(*cells).alias("_a"), F.xxhash64(F.lit(1), *cells).alias("_b"))
+    sums = [F.count("*").alias("n"), F.bit_xor("_a").alias("a"), F.bit_xor("_b").alias("b"), F.sum(F.shiftright("_a", 32)).alias("s")]
+    folded = side(old, "old").unionByName(side(new, "new")).groupBy("_year", "_side").agg(*sums)
+    found: dict[int, list] = {}
+    for r in folded.collect():  # two rows a year
+        found.setdefault(r["_year"], []).append((r["n"], r["a"], r["b"], r["s"]))
+    return sorted(year for year, both in found.items() if len(both) < 2 or both[0] != both[1])
+
+
 def derive_adjusted(store: Store, whole: bool = False) -> None:
     """Adjusted prices of the shares with news.
 

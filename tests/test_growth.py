@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Observation
+from pyspark.sql import Observation, functions as F
 
 from quotewell.operators.typed import QUOTES as TYPING, apply_typing
-from quotewell.plans import warehouse
+from quotewell.plans import derived, warehouse
 from quotewell.sources import csv_files
+from quotewell.sources.store import Store
 from quotewell.streaming import quotes as stream
 
 
@@ -58,3 +59,15 @@ def test_lines_of_a_stream_are_typed_and_kept_apart_in_one_pass(spark, tmp_path)
     out = apply_typing(csv_files.staging_columns(lines, csv_files.QUOTES, with_bad=True), TYPING)
     assert sorted((r._bad_line or "", r.fl_processado) for r in out.collect()) == [("", 1), ("A,2024-01-03", 2)]
     assert len(csv_files.staging_columns(lines, csv_files.QUOTES).collect()) == 1
+
+
+def test_changed_years_are_found_without_a_join(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    schema = "id_acao int, id_data int, vl_fechamento_aj decimal(18,4), vl_retorno_aj decimal(10,6)"
+    one, two = Decimal(1), Decimal(2)
+    old = [(1, 20200102, one, None), (1, 20210102, one, two), (1, 20220102, None, one), (1, 20230102, one, one), (2, 20230102, two, two)]
+    new = [(1, 20200102, None, one), (1, 20210102, one, two), (1, 20230102, two, two), (2, 20230102, one, one), (1, 20240102, one, one)]
+    frames = [spark.createDataFrame(rows, schema) for rows in (old, new)]
+    columns = ["id_acao", "id_data", "vl_fechamento_aj", "vl_retorno_aj"]
+    assert derived.differing_years(store, "hist_preco_ajustado", *frames, columns) == [2020, 2022, 2023, 2024]
+    assert derived.differing_years(store, "hist_preco_ajustado", frames[0], frames[0].orderBy(F.desc("id_data")), columns) == []
