@@ -248,9 +248,10 @@ class Store:
     def settle(self, typed: DataFrame, table: str, source: str) -> None:
         """Move a source's pending rows to their new states 1 or 2, then clear the pending folder.
 
-        The settled rows replace the folders of their own load, so a repeat after a failure adds nothing.
+        The settled rows replace the folders of their own load, so a repeat after a failure adds nothing. The pending rows of a
+        load lie in files of their own, and a task that reads some of them writes two files a load at most: no shuffle is needed.
         """
-        self.replace_partitions(typed, table)
+        self.replace_partitions(typed, table, gathered=True)
         self.drop_folder(table, {"ds_fonte": source, "fl_processado": 0})
 
     def drop_folder(self, table: str, partition: dict[str, object]) -> None:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Observation, functions as F
 
 from quotewell.operators.typed import QUOTES as TYPING, apply_typing
 from quotewell.plans import derived, warehouse
-from quotewell.sources import csv_files
+from quotewell.sources import csv_files, loading
 from quotewell.sources.store import Store
 from quotewell.streaming import quotes as stream
 
@@ -71,3 +72,19 @@ def test_changed_years_are_found_without_a_join(spark, tmp_path):
     columns = ["id_acao", "id_data", "vl_fechamento_aj", "vl_retorno_aj"]
     assert derived.differing_years(store, "hist_preco_ajustado", *frames, columns) == [2020, 2022, 2023, 2024]
     assert derived.differing_years(store, "hist_preco_ajustado", frames[0], frames[0].orderBy(F.desc("id_data")), columns) == []
+
+
+def test_pending_rows_are_settled_without_a_shuffle(spark, tmp_path, monkeypatch):
+    store, source = Store(spark, str(tmp_path / "store")), csv_files.series_source("SELIC", "11")
+    (tmp_path / "s.csv").write_text("data;valor\n01/01/2024;1\n02/01/2024;x\n")
+    loading.load_source(store, source, str(tmp_path / "s.csv"))
+    gathered = Store._gathered
+
+    def no_staging(self, rows, table):
+        assert table != source.table
+        return gathered(self, rows, table)
+
+    monkeypatch.setattr(Store, "_gathered", no_staging)
+    kept = warehouse.settle_staging(store, source.table, source.name)
+    assert [r.dt_data for r in kept.collect()] == [date(2024, 1, 1)]
+    assert sorted(r.fl_processado for r in store.read(source.table).collect()) == [1, 2]
