@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -268,6 +269,74 @@ def test_op4_many_near_copies_and_chains(spark, monkeypatch):
         assert got == plain_groups(rows, k, num, 100)
 
 
+def test_op4_rare_ngrams_meet_packed(spark):
+    """Each n-gram that two classes have comes with all of them and the smallest; n-grams travel many to a row, not one."""
+    rng = random.Random(3)
+    sets = {rep: rng.sample(range(1 << 60, (1 << 60) + 4000), 50) + rng.sample(range(-900, -1), 20) for rep in range(-20, 100)}
+    pack = lambda grams: np.array(grams, np.int64).tobytes()
+    rows = [(rep, 70, pack(grams[10:]), pack(grams[:10])) for rep, grams in sets.items()]
+    classes = spark.createDataFrame(rows, "rep bigint, n bigint, light binary, dense binary")
+    plain = []
+    for part in (slice(10, None), slice(10)):
+        having = collections.defaultdict(list)
+        for rep, grams in sets.items():
+            for gram in grams[part]:
+                having[gram].append(rep)
+        plain += [(gram, rep, 70, min(reps)) for gram, reps in having.items() if len(reps) > 1 for rep in reps]
+    for lights in (1, 5 * ngram_join.DEALT):
+        met = ngram_join._shared(classes, lights)
+        assert sorted(map(tuple, met.collect())) == sorted(plain)
+        assert not re.search(r"Window|Generate", met._jdf.queryExecution().toString())
+
+
+@pytest.mark.parametrize("few", [0, 3, 64])
+def test_op4_ngrams_of_few_and_of_many_classes(spark, monkeypatch, few):
+    """However many classes an n-gram may have to be counted by twos, classes that share enough are connected."""
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    rng = random.Random(5)
+    sets = {rep: rng.sample(range(400), 12) for rep in range(150)}
+    having = collections.defaultdict(list)
+    for rep, grams in sets.items():
+        for gram in grams:
+            having[gram].append(rep)
+    met = [(gram, rep, 100, min(reps)) for gram, reps in having.items() if len(reps) > 1 for rep in reps]
+    kin = ngram_join._kin(spark.createDataFrame(met, ngram_join._MET), 80, 100)
+    got = {r.node: r.label for r in graph.components(kin).collect()}
+    label = {rep: rep for rep in sets}
+    for a, b in itertools.combinations(sets, 2):
+        if len(set(sets[a]) & set(sets[b])) >= 3 and label[a] != label[b]:
+            low, high = sorted((label[a], label[b]))
+            label = {rep: low if x == high else x for rep, x in label.items()}
+    assert {rep: got.get(rep, rep) for rep in sets} == label
+
+
+def test_op4_small_blocks_link_as_large_ones():
+    rng = random.Random(7)
+    for turn in range(30):
+        base = rng.sample(range(10_000), 40)
+        sets = [np.array(sorted({*rng.sample(base, 36), *rng.sample(range(10_000), rng.randrange(6))}), np.uint64) for _ in range(12)]
+        tree = ngram_join.Tree(sets)
+        sets = [sets[i] for i in tree.order]
+        start, found = np.array([i // 2 if turn % 2 else i for i in range(12)]), []
+        for links in (tree.links, lambda *a: ngram_join._table_links(sets, *a)):
+            groups = start.copy()
+            pairs = links(np.arange(12 if turn % 3 else 5), groups, 80, 100)
+            assert len(pairs) == len(set(start)) - len(set(groups))
+            found.append(collections.Counter(frozenset(np.flatnonzero(groups == g)) for g in set(groups.tolist())))
+        assert found[0] == found[1]
+
+
+def test_weights_of_ngrams():
+    rng = np.random.default_rng(1)
+    grams = np.unique(np.concatenate([rng.integers(0, 1 << 64, 3000, np.uint64), np.arange(50, dtype=np.uint64), np.uint64((1 << 64) - 1) - np.arange(20, dtype=np.uint64)]))
+    values = rng.integers(1, 40, len(grams)).astype(np.int8)
+    asked = np.concatenate([grams, rng.integers(0, 1 << 64, 3000, np.uint64)])
+    known = dict(zip(grams.tolist(), values.tolist()))
+    for n in (len(grams), 1, 0):
+        some = dict(list(known.items())[:n])
+        assert ngram_join.Weights(grams[:n], values[:n]).of(asked).tolist() == [some.get(g, 0) for g in asked.tolist()]
+
+
 def test_op4_odd_rows(spark, odd):
     got = collections.Counter((r.doc_id, r.component_id) for r in ngram_join.groups(odd).collect())
     assert got == collections.Counter((k, {5: 4}.get(k, k)) for k, _ in ODD)
